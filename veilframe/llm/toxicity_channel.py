@@ -200,7 +200,7 @@ def fit_logistic(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, n_cols: int,
     return w, float(bias)
 
 
-def thinned(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, copies: int = 3, keep: float = 0.15, seed: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def thinned(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, copies: int = 2, keep: float = 0.25, seed: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The sample with copies of its positive rows that keep a few of their features each: one clear word is enough evidence."""
     rng = np.random.default_rng(seed)
     all_rows, all_cols, all_y = [rows], [cols], [y]
@@ -221,7 +221,7 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def score_toxicity(
-    docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, max_features: int = 2048, min_z: float = 4.0, cutoff: float = 0.7, seed: int = 11,
+    docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, max_features: int = 2048, min_z: float = 5.0, cutoff: float = 0.7, seed: int = 11,
 ) -> DataFrame:
     """doc_id, held_out, score, predicted of every document.
 

@@ -1,6 +1,10 @@
-"""Queries of the engine by name, and the SQL that says the same."""
+"""All queries of the engine by name, the SQL that says the same, and the flagship."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from veilframe.plans import relational_queries, scalar_queries  # noqa: F401  they register their queries
+from veilframe.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "flagship"]
+
+flagship = QUERIES["flagship_masked_revenue"]

@@ -32,7 +32,7 @@ def not_empty(df: DataFrame) -> DataFrame:
 
 def planned_bytes(df: DataFrame) -> int:
     """What the optimizer expects to read, columns and filters pruned."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 @dataclass(frozen=True)

@@ -22,8 +22,8 @@ SPELLINGS = (
     ("per cent", "percent"), ("programme", "program"), ("recognised", "recognized"), ("redistributions", "redistribution"),
     ("utilisation", "utilization"), ("wilful", "willful"), ("https", "http"), ("copyright owner", "copyright holder"),
 )
-#: To Java's engine d makes \n the only line end.
-COPYRIGHT_LINE = r"(?md)^[ \t*#/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+#: A notice line, not a line of terms that happens to begin with the word. To Java's engine d makes \n the only line end.
+COPYRIGHT_LINE = r"(?md)^[ \t*#/;-]*(copyright[ \t:]*(\(c\)|©|[0-9]{4}|by |<|\[)|\(c\)|©|all rights reserved)[^\n]*$"
 OTHER = r"[^\p{L}\p{N}]+"
 
 # Public licence texts and notices, by SPDX identifier.

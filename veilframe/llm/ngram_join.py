@@ -147,7 +147,7 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def near_duplicates(
-    docs: DataFrame, threshold: float = 0.8, target_recall: float = 0.995, block_rows: int = 2048,
+    docs: DataFrame, threshold: float = 0.8, target_recall: float = 0.9995, block_rows: int = 2048,
     block_chars: int = 16_000_000, least_depth: int = 3,
 ) -> DataFrame:
     """doc_id, n_links, class_id, kept of every row of ``docs`` (doc_id, text; further columns are ignored).

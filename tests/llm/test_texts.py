@@ -132,11 +132,11 @@ def test_roles_of_blocks():
 
 def test_repeated_runs_of_undecided_blocks_go(spark):
     fixed = "All pages of this site carry this line of more than eight words at the top"
-    rows = [(i, f"http://h.example/{i}", f"<body><div>{fixed}</div><div>{fixed} {i} is the number that this page is about</div><div>menu</div><p>Own text of page {i} with words that no other page has {i}</p></body>") for i in range(3)]
+    rows = [(i, f"http://h.example/{i}", f"<body><div>{fixed}</div><div>{fixed} p{i} says q{i}</div><div>menu</div><p>Own text of page {i} with words that no other page has {i}</p></body>") for i in range(3)]
     rows += [(7, "http://other.example/", f"<div>{fixed}</div>"), (8, "http://h.example/0", rows[0][2])]
     got = {r.page_id: r.text for r in html_main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for i in range(3):
-        assert got[i] == f"{i} is the number that this page is about\nOwn text of page {i} with words that no other page has {i}"
+        assert got[i] == f"p{i} says q{i}\nOwn text of page {i} with words that no other page has {i}"
     assert got[7] == fixed and got[8] == got[0]
 
 

@@ -139,3 +139,26 @@ def incompatible(old: dict, new: dict, path: str = "") -> list[str]:
 def embeds_envelope(schema: dict, reference: str = "envelope.schema.json") -> bool:
     """Whether a payload schema takes the envelope over by reference and does not override it."""
     return any(x.get("$ref") == reference for x in schema.get("allOf", [])) and "envelope" not in schema.get("properties", {})
+
+
+def rejoin(messages: DataFrame) -> DataFrame:
+    """Each row's encrypted and public payload side by side again, by the key and slot of their envelopes."""
+    sides = [
+        messages.where(F.col("message.envelope.event_type") == kind).select(
+            F.col("message.envelope.dataset").alias("dataset"), F.col("message.envelope.run_slot").alias("run_slot"), F.col("message.envelope.key").alias("key"), F.col("message.payload").alias(name),
+        ) for kind, name in ((ENCRYPTED, "encrypted"), (FLAT, "flat"))
+    ]
+    return sides[0].join(sides[1], ["dataset", "run_slot", "key"])
+
+
+def stage_details(events: DataFrame, details: dict[str, list[str]]) -> DataFrame:
+    """run_id, stage, detail of stage events (run_id, stage, event as a map): only the keys that a verdict repeats."""
+    wanted = F.lit(None).cast("array<string>")
+    for stage, keys in details.items():
+        wanted = F.when(F.col("stage") == stage, F.array(*map(F.lit, keys))).otherwise(wanted)
+    return events.select("run_id", "stage", F.map_filter("event", lambda k, v: F.array_contains(wanted, k) & v.isNotNull()).alias("detail"))
+
+
+def alerts(decisions: DataFrame, keep: int = 100) -> DataFrame:
+    """The latest alerts of a decision log (client, ts, allowed, reason): refusals, newest first, a bounded report."""
+    return decisions.where(~F.col("allowed")).select(F.concat(F.lit("traffic_"), F.replace("reason", F.lit(" "), F.lit("_"))).alias("kind"), "client", "ts").orderBy(F.desc("ts"), "client", "kind").limit(keep)

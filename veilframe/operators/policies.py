@@ -107,3 +107,8 @@ def uncovered(sensitive: list[str], masks: dict[str, str]) -> list[str]:
 def masked_view(df: DataFrame, masks: dict[str, str]) -> DataFrame:
     """The frame as a group sees it, for frames that hold plaintext."""
     return df.select(*(apply_mask(masks[c], F.col(c)).alias(c) if c in masks else F.col(c) for c in df.columns))
+
+
+def missing_policies(columns: DataFrame, resolved: DataFrame) -> DataFrame:
+    """The sensitive columns (name, sensitivity) that no resolved policy (column, mask) covers."""
+    return columns.where(F.col("sensitivity") != "public").join(resolved.select(F.col("column").alias("name")), "name", "left_anti")

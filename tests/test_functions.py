@@ -103,3 +103,23 @@ def test_names(spark):
 def test_numbers():
     assert [text.number(x) for x in (None, 1234.0, 1234.56, 0)] == ["—", "1,234", "1,234.6", "0"]
     assert text.label("c_name_masked") == "c name (masked)" and text.tile_label("duration_minutes") == "DURATION MI…"
+
+
+def plain_mask(kind, s):
+    if not s:
+        return s
+    if kind == "MASK_SHOW_LAST_4":
+        return "*" * (len(s) - 4) + s[-4:] if len(s) > 4 else "*" * len(s)
+    if kind == "MASK_SHOW_FIRST_8":
+        return s[:8] + "*" * (len(s) - 8) if len(s) > 8 else s
+    if kind == "MASK_HASH":
+        return hashlib.sha256(s.encode()).hexdigest()
+    return "".join("x" if c.isalpha() else "n" if c.isdigit() else c for c in s)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(st.characters(codec="utf-8", categories=("Ll", "Lu", "Lo", "Nd", "Zs", "Po", "So"), max_codepoint=0x2FFF), max_size=12), min_size=20, max_size=40))
+def test_masks_equal_plain_code(spark, values):
+    for kind in ("MASK_SHOW_LAST_4", "MASK_SHOW_FIRST_8", "MASK_HASH", "MASK"):
+        got = apply(spark, values, lambda c, kind=kind: masks.apply_mask(kind, c))
+        assert got == [plain_mask(kind, v) for v in values]

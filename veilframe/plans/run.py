@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -23,6 +25,7 @@ from veilframe.operators import classify, contracts, messages, policies, protect
 from veilframe.sources.tables import not_empty, read_csv
 
 MESSAGE_LIMIT = 2000
+log = logging.getLogger(__name__)
 
 
 @dataclass
@@ -198,8 +201,11 @@ STAGES: dict[str, Callable[[RunEnv], dict]] = {f.__name__: f for f in (extract,
 
 
 def run_stage(name: str, env: RunEnv, events: dict[str, dict]) -> dict:
+    log.info("trace=%s run=%s stage=%s begins", env.trace_id, env.run_id, name)
+    began = time.monotonic()
     event = {"stage": name, "dataset": env.dataset} | STAGES[name](env)
     events[name] = event
+    log.info("trace=%s run=%s stage=%s ended after %.1f s: %s", env.trace_id, env.run_id, name, time.monotonic() - began, event)
     return event
 
 

@@ -10,8 +10,10 @@ one is cut at powers of two, which need none.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -22,39 +24,99 @@ from pyspark.sql import functions as F
 from veilframe.llm.common import saved
 
 DIMS, BITS, TIE_BITS = 3, 12, 26
-_tokenizers: dict[str, tuple[object, dict[str, bytes]]] = {}
-MEMO_SIZE = 300_000
+MEMO_SIZE = 600_000
 #: White space to str.split, but part of a token to the tokenizer.
 SEPARATORS = re.compile("[\x1c-\x1f]")
+#: Signs that may follow a word as a token of their own; an apostrophe may begin an ending.
+SIGNS = string.punctuation.replace("'", "")
 
 
-def _tokenizer(path: str) -> tuple[object, dict[str, bytes]]:
-    if path not in _tokenizers:
+class _Words:
+    """Ids of words by one tokenizer, as bytes; both tables are bounded and last as long as the Python worker."""
+
+    def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
+        self.tokenizer = Tokenizer.from_file(path)
+        ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            ends[i] = token.endswith("</w>")
+        self.ends, self.words, self.runs = ends, {}, {}
+
+
+_tokenizers: dict[str, _Words] = {}
+
+
+def _tokenizer(path: str) -> _Words:
+    if path not in _tokenizers:
+        _tokenizers[path] = _Words(path)
     return _tokenizers[path]
 
 
+def _plain(stem: str) -> bool:
+    """Whether a word is one run of letters in composed form whose lower case doesn't depend on its neighbours."""
+    return stem.isalpha() and (stem.isascii() or ("Σ" not in stem and is_normalized("NFC", stem)))
+
+
+def _pieces(texts: list[str], known: _Words) -> list[bytes]:
+    return [np.array(e.ids, np.uint32).tobytes() for e in known.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _learn_runs(new: list[str], known: _Words) -> None:
+    """Ids of runs of letters, or of signs: one text of many runs is encoded and cut at word ends."""
+    for i in range(0, len(new), 4000):
+        some = new[i:i + 4000]
+        ids = np.array(known.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+        ends = ((np.flatnonzero(known.ends[ids]) + 1) * 4).tolist()
+        if len(ends) == len(some):
+            data, start = ids.tobytes(), 0
+            for run, end in zip(some, ends, strict=True):
+                known.runs[run] = data[start:end]
+                start = end
+        else:  # a vocabulary without word ends, or runs that it takes apart
+            known.runs.update(zip(some, _pieces(some, known), strict=True))
+
+
+def _learn(new: set[str], known: _Words) -> None:
+    """Ids of words not seen before. Letters and the signs after them are separate to the tokenizer, so
+    most words are two runs, which many words share."""
+    words, runs = known.words, known.runs
+    parts, odd, fresh = [], [], set()
+    for w in new:
+        stem = w.rstrip(SIGNS)
+        if stem.isascii() and stem.isalpha() or _plain(stem):
+            tail, stem = w[len(stem):], stem.lower()
+            parts.append((w, stem, tail))
+            if stem not in runs:
+                fresh.add(stem)
+            if tail and tail not in runs:
+                fresh.add(tail)
+        else:
+            odd.append(w)
+    _learn_runs(sorted(fresh), known)
+    for w, stem, tail in parts:
+        words[w] = runs[stem] + runs[tail] if tail else runs[stem]
+    words.update(zip(odd, _pieces(odd, known), strict=True))
+
+
 def encode(texts: list[str | None], path: str) -> list[np.ndarray]:
     """The tokenizer's ids of each whole text, without special ids.
 
     No token of this kind of vocabulary spans white space, so a text's ids are those
     of its words in a row, and each distinct word is encoded once.
     """
-    tokenizer, memo = _tokenizer(path)
-    if len(memo) > MEMO_SIZE:
-        memo.clear()
+    known = _tokenizer(path)
+    for memo in (known.words, known.runs):
+        if len(memo) > MEMO_SIZE:
+            memo.clear()
     split = [[] if not t else [t] if SEPARATORS.search(t) else t.split() for t in texts]
-    new = list({w for words in split for w in words if w not in memo})
-    for i in range(0, len(new), 20_000):
-        part = new[i:i + 20_000]
-        for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            memo[w] = np.array(e.ids, np.uint32).tobytes()
-    return [np.frombuffer(b"".join(map(memo.__getitem__, words)), np.uint32) for words in split]
+    new = set().union(*split)
+    new.difference_update(known.words)
+    _learn(new, known)
+    return [np.frombuffer(b"".join(map(known.words.__getitem__, words)), np.uint32) for words in split]
 
 
 def hashed_vectors(n: int, seed: int = 5) -> np.ndarray:

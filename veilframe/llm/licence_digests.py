@@ -67,22 +67,35 @@ KNOWN = (
 )
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form; null stays null, a text of copyright lines and punctuation alone becomes ''."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
-    out = F.concat(F.lit(" "), F.regexp_replace(out, OTHER, " "), F.lit(" "))
+def plain_words(text: Column) -> Column:
+    """Lower case words with one space around each; copyright lines are gone, null is ' '."""
+    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
+    return F.regexp_replace(F.concat(F.lit(" "), out, F.lit(" ")), OTHER, " ")
+
+
+def one_spelling(words: Column) -> Column:
     for other, one in SPELLINGS:
-        out = F.replace(out, F.lit(f" {other} "), F.lit(f" {one} "))
-    return F.trim(F.regexp_replace(out, " +", " "))
+        words = F.replace(words, F.lit(f" {other} "), F.lit(f" {one} "))
+    return words
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(F.nullif(canonical(text), F.lit("")), 256)
+def with_digest(df: DataFrame, text: str) -> DataFrame:
+    """Adds canonical and key, the digest of the canonical form; for null they are '' and its digest.
+
+    Few texts have a spelling to change, and one search for all of them finds those.
+    Each step is a column of its own, as an expression used twice would be worked out
+    twice; and key cannot be null, as a join on it would else filter by it first.
+    """
+    words = F.col("__words")
+    other = f" ({'|'.join(other for other, _ in SPELLINGS)}) "
+    out = df.withColumn("__words", plain_words(F.col(text)))
+    out = out.withColumn("canonical", F.trim(F.when(words.rlike(other), one_spelling(words)).otherwise(words))).drop("__words")
+    return out.withColumn("key", F.sha2("canonical", 256))
 
 
 def known_licences(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
     """licence, digest: one row for each known canonical text; its size is that of the given list."""
-    return spark.createDataFrame(list(known), "licence string, body string").select("licence", digest(F.col("body")).alias("digest")).groupBy("digest").agg(F.min("licence").alias("licence"))
+    return with_digest(spark.createDataFrame(list(known), "licence string, body string"), "body").select("licence", F.col("key").alias("digest")).groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
 def scan(docs: DataFrame, known: DataFrame, broadcast_rows: int = 100_000) -> DataFrame:
@@ -95,11 +108,12 @@ def scan(docs: DataFrame, known: DataFrame, broadcast_rows: int = 100_000) -> Da
     of the document; '' if none. Repeated rows give repeated results. A table of
     known digests of at most ``broadcast_rows`` rows is broadcast, a larger one shuffled.
     """
-    table = saved(known.select("digest", "licence").groupBy("digest").agg(F.min("licence").alias("licence")))
+    table = saved(known.select(F.col("digest").alias("key"), "licence").groupBy("key").agg(F.min("licence").alias("licence")))
     small = table.limit(broadcast_rows + 1).count() <= broadcast_rows
     table = F.broadcast(table) if small else table
     base = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
-    lines = base.select("row", F.explode(F.split("text", "\n")).alias("line")).where("length(line) > 0").select("row", digest(F.col("line")).alias("digest"))
-    named = lines.join(table, "digest").groupBy("row").agg(F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("line_licences"))
-    whole = base.select("doc_id", "row", digest(F.col("text")).alias("digest")).join(table, "digest", "left")
+    lines = with_digest(base.select("row", F.explode(F.split("text", "\n")).alias("line")), "line").select("row", "key")
+    named = lines.join(table, "key").groupBy("row").agg(F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("line_licences"))
+    own = with_digest(base, "text").select("doc_id", "row", "key", F.when(F.col("canonical") != "", F.col("key")).alias("digest"))
+    whole = own.join(table, "key", "left")
     return whole.join(named, "row", "left").select("doc_id", "digest", "licence", F.coalesce("line_licences", F.lit("")).alias("line_licences"))

@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from veilframe.llm.common import saved
 
 DIMS, BITS, TIE_BITS = 3, 12, 26
-MEMO_SIZE = 600_000
+MEMO_SIZE = 1_200_000
+SLICE = 2048
 #: White space to str.split, but part of a token to the tokenizer.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 #: Signs that may follow a word as a token of their own; an apostrophe may begin an ending.
@@ -32,7 +33,7 @@ SIGNS = string.punctuation.replace("'", "")
 
 
 class _Words:
-    """Ids of words by one tokenizer, as bytes; both tables are bounded and last as long as the Python worker."""
+    """Ids of words and of the runs they are made of by one tokenizer, as bytes; bounded, and kept as long as the Python worker."""
 
     def __init__(self, path: str):
         import os
@@ -44,7 +45,7 @@ class _Words:
         ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             ends[i] = token.endswith("</w>")
-        self.ends, self.words, self.runs = ends, {}, {}
+        self.ends, self.ids = ends, {}
 
 
 _tokenizers: dict[str, _Words] = {}
@@ -69,37 +70,39 @@ def _learn_runs(new: list[str], known: _Words) -> None:
     """Ids of runs of letters, or of signs: one text of many runs is encoded and cut at word ends."""
     for i in range(0, len(new), 4000):
         some = new[i:i + 4000]
-        ids = np.array(known.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+        ids = np.array(known.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
         ends = ((np.flatnonzero(known.ends[ids]) + 1) * 4).tolist()
         if len(ends) == len(some):
-            data, start = ids.tobytes(), 0
-            for run, end in zip(some, ends, strict=True):
-                known.runs[run] = data[start:end]
-                start = end
+            data = ids.tobytes()
+            known.ids.update(zip(some, [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
         else:  # a vocabulary without word ends, or runs that it takes apart
-            known.runs.update(zip(some, _pieces(some, known), strict=True))
+            known.ids.update(zip(some, _pieces(some, known), strict=True))
 
 
 def _learn(new: set[str], known: _Words) -> None:
     """Ids of words not seen before. Letters and the signs after them are separate to the tokenizer, so
     most words are two runs, which many words share."""
-    words, runs = known.words, known.runs
+    ids = known.ids
     parts, odd, fresh = [], [], set()
     for w in new:
+        if w.isalpha() and w.isascii() and w.islower():
+            fresh.add(w)
+            continue
         stem = w.rstrip(SIGNS)
         if stem.isascii() and stem.isalpha() or _plain(stem):
             tail, stem = w[len(stem):], stem.lower()
-            parts.append((w, stem, tail))
-            if stem not in runs:
+            if stem not in ids:
                 fresh.add(stem)
-            if tail and tail not in runs:
+            if tail and tail not in ids:
                 fresh.add(tail)
+            if tail or stem != w:
+                parts.append((w, stem, tail))
         else:
             odd.append(w)
-    _learn_runs(sorted(fresh), known)
+    _learn_runs(list(fresh), known)
     for w, stem, tail in parts:
-        words[w] = runs[stem] + runs[tail] if tail else runs[stem]
-    words.update(zip(odd, _pieces(odd, known), strict=True))
+        ids[w] = ids[stem] + ids[tail] if tail else ids[stem]
+    ids.update(zip(odd, _pieces(odd, known), strict=True))
 
 
 def encode(texts: list[str | None], path: str) -> list[np.ndarray]:
@@ -109,14 +112,28 @@ def encode(texts: list[str | None], path: str) -> list[np.ndarray]:
     of its words in a row, and each distinct word is encoded once.
     """
     known = _tokenizer(path)
-    for memo in (known.words, known.runs):
-        if len(memo) > MEMO_SIZE:
-            memo.clear()
+    if len(known.ids) > MEMO_SIZE:
+        known.ids.clear()
     split = [[] if not t else [t] if SEPARATORS.search(t) else t.split() for t in texts]
     new = set().union(*split)
-    new.difference_update(known.words)
+    new.difference_update(known.ids)
     _learn(new, known)
-    return [np.frombuffer(b"".join(map(known.words.__getitem__, words)), np.uint32) for words in split]
+    return [np.frombuffer(b"".join(map(known.ids.__getitem__, words)), np.uint32) for words in split]
+
+
+def mean_vectors(all_ids: list[np.ndarray], vectors: np.ndarray) -> np.ndarray:
+    """Mean of the vectors of each text's ids (n x dims); 0 for a text without ids."""
+    sizes = np.fromiter(map(len, all_ids), np.int64, len(all_ids))
+    points, at = np.zeros((len(all_ids), vectors.shape[1])), np.flatnonzero(sizes)
+    done = 0
+    while done < len(at):  # a million ids at a time, or one longer text
+        ends = np.cumsum(sizes[at[done:]])
+        some = at[done:done + max(1, int(np.searchsorted(ends, 1_000_000, side="right")))]
+        flat = np.minimum(np.concatenate([all_ids[i] for i in some]), len(vectors) - 1)
+        starts = np.cumsum(sizes[some]) - sizes[some]
+        points[some] = np.add.reduceat(vectors[flat], starts, axis=0, dtype=np.float64) / sizes[some, None]
+        done += len(some)
+    return points
 
 
 def hashed_vectors(n: int, seed: int = 5) -> np.ndarray:
@@ -172,17 +189,13 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, sequence: int =
         vectors = hashed_vectors(vocabulary + 1)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for i in range(0, len(texts), 512):
-                all_ids = encode(texts[i:i + 512], tokenizer_path)
-                points = np.zeros((len(all_ids), DIMS))
-                for k, ids in enumerate(all_ids):
-                    if len(ids):
-                        counts = np.bincount(np.minimum(ids, vocabulary), minlength=0)
-                        points[k] = (counts.astype(np.float32) @ vectors[:len(counts)]) / len(ids) if len(ids) > 20_000 else vectors[np.minimum(ids, vocabulary)].mean(axis=0)
+            for i in range(0, len(texts), SLICE):
+                all_ids = encode(texts[i:i + SLICE], tokenizer_path)
+                points = mean_vectors(all_ids, vectors)
                 small = vocabulary <= 1 << 16
                 blobs = [ids.astype(np.uint16 if small else np.uint32).tobytes() for ids in all_ids]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[i:i + 512], *(pa.array(points[:, d]) for d in range(DIMS)), pa.array([len(x) + 1 for x in all_ids], pa.int64()), pa.array(blobs, pa.binary())],
+                    [batch.column(0)[i:i + SLICE], *(pa.array(points[:, d]) for d in range(DIMS)), pa.array([len(x) + 1 for x in all_ids], pa.int64()), pa.array(blobs, pa.binary())],
                     ["doc_id", *(f"x{d}" for d in range(DIMS)), "n", "ids"],
                 )
 

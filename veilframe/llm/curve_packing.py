@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from veilframe.llm.common import saved
 
 DIMS, BITS, TIE_BITS = 3, 12, 26
-MEMO_SIZE = 1_200_000
-SLICE = 2048
+MEMO_SIZE = 900_000
+SLICE = 1024
 #: White space to str.split, but part of a token to the tokenizer.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 #: Signs that may follow a word as a token of their own; an apostrophe may begin an ending.

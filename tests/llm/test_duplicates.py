@@ -145,3 +145,22 @@ def test_many_equal_vectors_are_one_point(spark):
     df = spark.createDataFrame(pd.DataFrame({"vec_id": range(3000), "embedding": [[1.0, 2.0]] * 3000, "label": 1}))
     got = embedding_forest.near_duplicate_vectors(df, leaf_rows=64)
     assert got.where("n_links = 2999 and component_id = 0").count() == 3000
+
+
+def test_thousands_of_unequal_near_copies_are_compared(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(2800, 64))
+    x[:2400] = x[0] + rng.normal(size=(2400, 64)) * 0.03 * np.linalg.norm(x[0]) / 8
+    plain = embedding_forest.saved
+
+    def bounded(df):
+        out = plain(df)
+        assert out.count() <= 6 * 2 * len(x)
+        return out
+
+    monkeypatch.setattr(embedding_forest, "saved", bounded)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": range(len(x)), "embedding": list(x.tolist()), "label": 1}))
+    got = embedding_forest.near_duplicate_vectors(df).toPandas().sort_values("vec_id")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert got.n_links.tolist() == ((unit @ unit.T >= 0.93).sum(1) - 1).tolist()
+    assert got.component_id.tolist() == [0] * 2400 + list(range(2400, 2800))

@@ -20,12 +20,31 @@ from veilframe.llm.common import components, saved
 from veilframe.llm.ngram_join import _roots
 
 
+#: Quantiles that are tried where a cut at the median puts too many points on both sides.
+QUANTILES = (0.05, 0.1, 0.2, 0.3, 0.4, 0.6, 0.7, 0.8, 0.9, 0.95)
+#: With fewer sampled points than this a node below the root waits for a sample of its own.
+FEW = 32
+
+
 def direction(tree: int, node: int, dims: int) -> np.ndarray:
     """The random direction that splits a node of a tree; the same in every task."""
     v = np.random.default_rng([17, tree, node & (2**63 - 1)]).standard_normal(dims)
     return v / np.linalg.norm(v)
 
 
+def _cut(x: np.ndarray, margin: float) -> float:
+    """Where to split projections: the median, or the best of further quantiles where the median saves no comparisons; inf if none does."""
+    best, least = np.inf, 1.0
+    for q in (0.5, *QUANTILES):
+        cut = np.quantile(x, q)
+        left, right = np.mean(x < cut + margin), np.mean(x >= cut - margin)
+        if (work := left**2 + right**2) < least:
+            best, least = float(cut), work
+        if q == 0.5 and np.isfinite(best):
+            break
+    return best
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """Unit vectors, from the packed doubles of each row."""
     blobs = column.to_pylist()
@@ -57,7 +76,8 @@ def near_duplicate_vectors(
 
     Splits of a node are fitted on at most about ``fit_rows`` of its points, chosen by
     hash; all points are routed. A node that cannot be split further, as its points
-    stay within the margin, is compared in pairs of blocks of ``leaf_rows``.
+    stay within the margin, so that its two sides would take as many comparisons as
+    the node itself, is final and compared in pairs of blocks of ``leaf_rows``.
     """
     kind = dict(vectors.dtypes)["vec_id"]
     label_kind = dict(vectors.dtypes)["label"]
@@ -71,13 +91,14 @@ def near_duplicate_vectors(
         "point", "unit", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"),
         F.xxhash64("label", F.length("unit")).alias("node"),
     )
-    placed, waiting = [], saved(at)
+    placed, waiting = [], saved(at.withColumn("final", F.lit(False)))
     for _ in range(max_rounds):
-        sizes = saved(waiting.groupBy("tree", "node").count())
-        large = sizes.where(F.col("count") > leaf_rows)
+        sizes = saved(waiting.groupBy("tree", "node").agg(F.count("*").alias("count"), F.max("final").alias("final")))
+        is_large = (F.col("count") > leaf_rows) & ~F.col("final")
+        large = sizes.where(is_large).drop("final")
         if large.isEmpty():
             break
-        placed.append(waiting.join(sizes.where(F.col("count") <= leaf_rows), ["tree", "node"], "left_semi"))
+        placed.append(waiting.join(sizes.where(~is_large), ["tree", "node"], "left_semi"))
         open_ = waiting.join(large, ["tree", "node"])
         waiting = saved(_route(open_, threshold, spill, levels, leaf_rows, fit_rows))
     placed.append(waiting)
@@ -140,22 +161,28 @@ def near_duplicate_vectors(
 
 
 def _route(open_: DataFrame, threshold: float, spill: float, levels: int, leaf_rows: int, fit_rows: int) -> DataFrame:
-    """point, unit, tree, node after up to ``levels`` splits of every node; a point near a split is in both children."""
+    """point, unit, tree, node, final after up to ``levels`` splits of every node; a point near a split is in both children.
+
+    ``final`` marks the nodes that no cut makes cheaper to compare.
+    """
     sample = open_.where(F.pmod(F.xxhash64("point", "tree", F.lit(9)), F.lit(1 << 20)) < F.lit(float(fit_rows) * (1 << 20)) / F.col("count"))
 
     def fit(group: pa.Table) -> pa.Table:
-        """Thresholds of the subtree of one node, in heap order; nan where no split is needed."""
+        """Thresholds of the subtree of one node, in heap order; nan where no split is needed, inf where none helps."""
         unit = _matrix(group["unit"].combine_chunks())
         tree, node, count = (group[c][0].as_py() for c in ("tree", "node", "count"))
         depth = max(1, min(levels, int(np.ceil(np.log2(count / leaf_rows)))))
         cuts = np.full(1 << depth, np.nan)
+        margin = spill * np.sqrt(2 - 2 * threshold) / np.sqrt(unit.shape[1])
         inside = [(1, np.arange(len(unit)))]
         while inside:
             at, own = inside.pop()
-            if at >= 1 << depth or len(own) < 2:
+            if at >= 1 << depth or len(own) < (2 if at == 1 else FEW):
                 continue
             x = unit[own] @ direction(tree, node + at, unit.shape[1])
-            cuts[at] = np.median(x)
+            cuts[at] = _cut(x, margin)
+            if np.isinf(cuts[at]):
+                continue
             inside += [(2 * at, own[x < cuts[at]]), (2 * at + 1, own[x >= cuts[at]])]
         return pa.table({"tree": pa.array([tree], pa.int32()), "node": pa.array([node]), "cuts": pa.array([cuts.tolist()], pa.list_(pa.float64()))})
 
@@ -179,15 +206,16 @@ def _route(open_: DataFrame, threshold: float, spill: float, levels: int, leaf_r
                     at, some = inside.pop()
                     if not len(some):
                         continue
-                    if at < len(splits) and splits[at] == splits[at]:
-                        x = unit[some] @ direction(t, n + at, unit.shape[1]) - splits[at]
+                    cut = splits[at] if at < len(splits) else np.nan
+                    if np.isfinite(cut):
+                        x = unit[some] @ direction(t, n + at, unit.shape[1]) - cut
                         inside += [(2 * at, some[x < margin]), (2 * at + 1, some[x >= -margin])]
                     else:
                         child = (n * 1_000_003 + at * 7_919 + 1) % (1 << 62)
-                        out += [(point[own[k]], units[own[k]], t, child) for k in some]
-            cols = list(zip(*out, strict=True)) if out else [()] * 4
-            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["point", "unit", "tree", "node"])
+                        out += [(point[own[k]], units[own[k]], t, child, bool(np.isinf(cut))) for k in some]
+            cols = list(zip(*out, strict=True)) if out else [()] * 5
+            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["point", "unit", "tree", "node", "final"])
 
     routed = open_.join(subtrees, ["tree", "node"]).select("point", "tree", "node", "unit", "cuts")
-    return routed.mapInArrow(route, "point long, unit binary, tree int, node long")
+    return routed.mapInArrow(route, "point long, unit binary, tree int, node long, final boolean")

@@ -146,6 +146,17 @@ def test_copies_of_an_article_are_kept(spark):
     assert html_main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).where("n_chars > 60").count() == 2
 
 
+def test_short_blocks_and_runs_over_blocks(spark):
+    own = "{} is a text of page {} alone with {} and {} in all of its words"
+    rows = [(i, f"http://h/{i}", f"<div>one two three</div><div>four five six seven eight</div><p>{own.format(*[f'x{i}'] * 4)}</p>" + ("<h2>Conclusion</h2>" if i < 2 else "") + f"<p>End {i}</p>") for i in range(5)]
+    copy = "A whole text without any article element that two pages of one host have"
+    rows += [(8, "http://two/1", f"<p class=a>{copy}</p><h2>Notes</h2>"), (9, "http://two/2", f"<p class=b>{copy}</p><h2>Notes</h2>")]
+    got = {r.page_id: r.text for r in html_main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(5):
+        assert got[i] == own.format(*[f"x{i}"] * 4) + ("\nConclusion" if i < 2 else "") + f"\nEnd {i}"
+    assert got[8] == got[9] == copy + "\nNotes"
+
+
 def test_pages_of_odd_rows(spark):
     rows = [(1, None, None), (2, "", ""), (3, "x", "no tags at all"), (4, "http://h/", "<p>cut <b"), (5, "http://h/", "<nav>only menu"), (6, "http://h/", "<article>" + "<p>long text</p>" * 20_000), (6, "http://h/", "<!-- open")]
     df = spark.createDataFrame([(*r, "c", 1) for r in rows], "page_id long, url string, html string, host string, run int")

@@ -7,6 +7,9 @@ SQL functions; whole texts are hashed and joined by digest.
 
 from __future__ import annotations
 
+import csv
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,8 @@ SPELLINGS = (
 COPYRIGHT_LINE = r"(?md)^[ \t*#/;-]*(copyright[ \t:]*(\(c\)|©|[0-9]{4}|by |<|\[)|\(c\)|©|all rights reserved)[^\n]*$"
 OTHER = r"[^\p{L}\p{N}]+"
 
+#: Digests of canonical whole texts by SPDX identifier.
+DIGESTS = Path(__file__).with_name("licence_digests.csv")
 # Public licence texts and notices, by SPDX identifier.
 MIT_TERMS = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
@@ -93,9 +98,17 @@ def with_digest(df: DataFrame, text: str) -> DataFrame:
     return out.withColumn("key", F.sha2("canonical", 256))
 
 
-def known_licences(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """licence, digest: one row for each known canonical text; its size is that of the given list."""
-    return with_digest(spark.createDataFrame(list(known), "licence string, body string"), "body").select("licence", F.col("key").alias("digest")).groupBy("digest").agg(F.min("licence").alias("licence"))
+def known_digests(path: Path = DIGESTS) -> list[tuple[str, str]]:
+    """(licence, digest) of the canonical forms of further whole texts, from a file of a fixed size."""
+    with path.open(newline="") as file:
+        return [(row["licence"], row["digest"]) for row in csv.DictReader(file)]
+
+
+def known_licences(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN, digests: Path = DIGESTS) -> DataFrame:
+    """licence, digest: one row for each known canonical text; its size is that of the given list and the file ``digests``."""
+    texts = with_digest(spark.createDataFrame(list(known), "licence string, body string"), "body").select("licence", F.col("key").alias("digest"))
+    further = spark.createDataFrame(known_digests(digests), "licence string, digest string")
+    return texts.union(further).groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
 def scan(docs: DataFrame, known: DataFrame, broadcast_rows: int = 100_000) -> DataFrame:

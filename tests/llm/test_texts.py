@@ -103,8 +103,33 @@ def test_hilbert_neighbours_are_adjacent():
 
 
 def test_words_are_encoded_as_whole_texts_are(spark, tokenizer):
+    import pyarrow as pa
+
     texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
-    assert all(a.tolist() == tokenizer.encode(t, add_special_tokens=False).ids for a, t in zip(curve_packing.encode(texts, PATH), texts, strict=True))
+    texts += ["ΟΔΟΣ Σίσυφος, İstanbul ñ$$ ñ it's l'été 12,345 漢字 ǅ ŉ n\u0303 don't.. <|endoftext|> a\x1cb \xa0x\x85 Straße!ẞ ''", "", " ", "....", None, "word" * 5000]
+    known = curve_packing._tokenizer(PATH)
+    for _ in range(2):  # the second time from memory
+        flat, sizes = curve_packing.encode(pa.array(texts), known)
+        for text, ids in zip(texts, np.split(flat, np.cumsum(sizes)[:-1]), strict=True):
+            assert ids.tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_neighbours_on_the_curve_are_packed_together(spark):
+    """Two kinds of text in random order of ids: nearly all sequences hold one kind alone, and copies lie side by side."""
+    rng = np.random.default_rng(0)
+    kinds = ["sea ship wind sail wave salt".split(), "tax law court judge bill fee".split()]
+    rows = [(i, " ".join(rng.choice(kinds[i * 7919 % 1009 % 2], 120))) for i in range(600)]
+    rows += [(1000 + i, "ten copies of one text about ships and courts and bread " * 20) for i in range(10)]
+    pieces = curve_packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), PATH, partitions=4).collect()
+    kind = {i: i * 7919 % 1009 % 2 for i in range(600)}
+    by_sequence = {}
+    for p in pieces:
+        if p.doc_id < 1000:
+            by_sequence.setdefault(p.sequence_id, set()).add(kind[p.doc_id])
+    assert np.mean([len(k) == 1 for k in by_sequence.values()]) > 0.85
+    order = [p.doc_id for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)) if p.start == 0]
+    at = [i for i, d in enumerate(order) if d >= 1000]
+    assert at[-1] - at[0] == 9
 
 
 # --- html

@@ -9,43 +9,51 @@ one is cut at powers of two, which need none.
 
 from __future__ import annotations
 
-import re
+import codecs
 import string
 import zlib
 from collections.abc import Iterator
-from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.llm.common import saved
 
 DIMS, BITS, TIE_BITS = 3, 12, 26
-MEMO_SIZE = 900_000
-SLICE = 1024
-#: White space to str.split, but part of a token to the tokenizer.
-SEPARATORS = re.compile("[\x1c-\x1f]")
+MEMO_SIZE = 600_000
+#: Bytes of text that are encoded at once; a longer text is encoded alone.
+SLICE_BYTES = 16_000_000
 #: Signs that may follow a word as a token of their own; an apostrophe may begin an ending.
 SIGNS = string.punctuation.replace("'", "")
+#: Letters of old blocks, where all tables of Unicode agree, whose lower case is one letter, whatever stands beside it.
+#: A word with others is left to the tokenizer itself.
+LETTERS = r"^[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{233}\x{386}\x{388}-\x{38a}\x{38c}\x{38e}-\x{3a1}\x{3a4}-\x{3cd}\x{400}-\x{481}\x{48a}-\x{513}]+$"
 
 
 class _Words:
-    """Ids of words and of the runs they are made of by one tokenizer, as bytes; bounded, and kept as long as the Python worker."""
+    """One tokenizer, and the ids of the runs of letters or signs that it has met; bounded, and kept as long as the Python worker."""
 
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        self.tokenizer, self.runs = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.runs.normalizer, self.runs.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.CharDelimiterSplit(" ")
+        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.ends, self.ids = np.zeros(self.size, bool), {}
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
-            ends[i] = token.endswith("</w>")
-        self.ends, self.ids = ends, {}
+            self.ends[i] = token.endswith("</w>")
+        alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = dict(enumerate(map(chr, range(128))))  # the letter that stands for each byte
+        for c in map(chr, range(0x80, 0x514)):
+            letters |= zip(c.encode(), alphabet.pre_tokenize_str(c)[0][0], strict=True)
+        self.letters = "".join(letters.get(b, "\ufffe") for b in range(256))
 
 
 _tokenizers: dict[str, _Words] = {}
@@ -57,87 +65,115 @@ def _tokenizer(path: str) -> _Words:
     return _tokenizers[path]
 
 
-def _plain(stem: str) -> bool:
-    """Whether a word is one run of letters in composed form whose lower case doesn't depend on its neighbours."""
-    return stem.isalpha() and (stem.isascii() or ("Σ" not in stem and is_normalized("NFC", stem)))
-
-
-def _pieces(texts: list[str], known: _Words) -> list[bytes]:
+def _whole(texts: list[str], known: _Words) -> list[bytes]:
     return [np.array(e.ids, np.uint32).tobytes() for e in known.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def _learn_runs(new: list[str], known: _Words) -> None:
-    """Ids of runs of letters, or of signs: one text of many runs is encoded and cut at word ends."""
+def _runs(new: list[str], known: _Words) -> list[bytes]:
+    """Ids of runs of lower case letters, or of signs. To the tokenizer each is one word, so the steps that
+    find words are left out: one text of many runs is encoded and cut at word ends."""
+    out: list[bytes] = []
     for i in range(0, len(new), 4000):
         some = new[i:i + 4000]
-        ids = np.array(known.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+        text = codecs.charmap_decode(" ".join(some).encode(), "strict", known.letters)[0]
+        ids = np.array(known.runs.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         ends = ((np.flatnonzero(known.ends[ids]) + 1) * 4).tolist()
         if len(ends) == len(some):
             data = ids.tobytes()
-            known.ids.update(zip(some, [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
+            out += [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
         else:  # a vocabulary without word ends, or runs that it takes apart
-            known.ids.update(zip(some, _pieces(some, known), strict=True))
-
-
-def _learn(new: set[str], known: _Words) -> None:
-    """Ids of words not seen before. Letters and the signs after them are separate to the tokenizer, so
-    most words are two runs, which many words share."""
-    ids = known.ids
-    parts, odd, fresh = [], [], set()
-    for w in new:
-        if w.isalpha() and w.isascii() and w.islower():
-            fresh.add(w)
-            continue
-        stem = w.rstrip(SIGNS)
-        if stem.isascii() and stem.isalpha() or _plain(stem):
-            tail, stem = w[len(stem):], stem.lower()
-            if stem not in ids:
-                fresh.add(stem)
-            if tail and tail not in ids:
-                fresh.add(tail)
-            if tail or stem != w:
-                parts.append((w, stem, tail))
-        else:
-            odd.append(w)
-    _learn_runs(list(fresh), known)
-    for w, stem, tail in parts:
-        ids[w] = ids[stem] + ids[tail] if tail else ids[stem]
-    ids.update(zip(odd, _pieces(odd, known), strict=True))
-
-
-def encode(texts: list[str | None], path: str) -> list[np.ndarray]:
-    """The tokenizer's ids of each whole text, without special ids.
+            out += _whole(some, known)
+    return out
 
-    No token of this kind of vocabulary spans white space, so a text's ids are those
-    of its words in a row, and each distinct word is encoded once.
+
+def _ragged(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """flat[start:start + size] of every start and size in a row."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def _flat(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids of all blobs in a row, and where each starts and how many it has."""
+    sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+    return np.frombuffer(b"".join(blobs), np.uint32), np.cumsum(sizes) - sizes, sizes
+
+
+def _word_ids(words: pa.Array, counts: np.ndarray, known: _Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of distinct words, as :func:`_flat` has them; ``counts`` says how often each occurs.
+
+    Letters and the signs after them are separate to the tokenizer, so most words are
+    two runs, which many words share. Runs that occur once are not remembered.
     """
-    known = _tokenizer(path)
+    stem = pc.ascii_rtrim(words, characters=SIGNS)
+    left, size = (pc.utf8_length(x).to_numpy() for x in (stem, words))
+    lettered = pc.match_substring_regex(stem, LETTERS).to_numpy(zero_copy_only=False)
+    odd = np.flatnonzero(~lettered & (left > 0))
+    first, last = np.flatnonzero(lettered), np.flatnonzero((lettered | (left == 0)) & (size > left))
+    tails = [w[n:] for w, n in zip(words.take(pa.array(last)).to_numpy(zero_copy_only=False), left[last].tolist(), strict=True)]
+    pieces = pa.concat_arrays([pc.utf8_lower(stem.take(pa.array(first))), pa.array(tails, pa.string())]).dictionary_encode()
+    kind = pieces.indices.to_numpy()
+    names = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+    ids = list(map(known.ids.get, names))
+    new = [k for k, own in enumerate(ids) if own is None]
+    often = np.bincount(kind, counts[np.concatenate([first, last])], len(names)) > 1 if len(names) else np.empty(0)
     if len(known.ids) > MEMO_SIZE:
         known.ids.clear()
-    split = [[] if not t else [t] if SEPARATORS.search(t) else t.split() for t in texts]
-    new = set().union(*split)
-    new.difference_update(known.ids)
-    _learn(new, known)
-    return [np.frombuffer(b"".join(map(known.ids.__getitem__, words)), np.uint32) for words in split]
-
+    for k, own in zip(new, _runs([names[k] for k in new], known), strict=True):
+        ids[k] = own
+        if often[k]:
+            known.ids[names[k]] = own
+    flat, starts, sizes = _flat(ids + _whole(words.take(pa.array(odd)).to_pylist(), known))
+    which = np.full((len(words), 2), len(starts))  # up to two runs of each word; the last entry is the empty one
+    which[first, 0], which[last, 1] = kind[:len(first)], kind[len(first):]
+    which[odd, 0] = len(names) + np.arange(len(odd))
+    starts, sizes = np.append(starts, 0), np.append(sizes, 0)
+    flat = _ragged(flat, starts[which.ravel()], sizes[which.ravel()])
+    sizes = sizes[which].sum(axis=1)
+    return flat, np.cumsum(sizes) - sizes, sizes
+
+
+def encode(texts: pa.Array, known: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """The tokenizer's ids of all whole texts in a row, without special ids, and how many each text has.
 
-def mean_vectors(all_ids: list[np.ndarray], vectors: np.ndarray) -> np.ndarray:
-    """Mean of the vectors of each text's ids (n x dims); 0 for a text without ids."""
-    sizes = np.fromiter(map(len, all_ids), np.int64, len(all_ids))
-    points, at = np.zeros((len(all_ids), vectors.shape[1])), np.flatnonzero(sizes)
+    No token of this kind of vocabulary spans white space, so a text's ids are those
+    of its words in a row, and each distinct word is looked up once.
+    """
+    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    tokens = split.flatten().dictionary_encode()
+    at = tokens.indices.to_numpy()
+    flat, starts, sizes = _word_ids(tokens.dictionary, np.bincount(at, minlength=len(tokens.dictionary)), known)
+    own = sizes[at]
+    ends = np.concatenate([[0], np.cumsum(own)])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+    return _ragged(flat, starts[at], own), np.diff(ends)
+
+
+def mean_vectors(flat: np.ndarray, sizes: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Mean of the vectors of each text's ids (n x dims), the ids of all texts in a row; 0 for a text without ids."""
+    points, at = np.zeros((len(sizes), vectors.shape[1])), np.flatnonzero(sizes)
+    ends = np.cumsum(sizes[at])
     done = 0
     while done < len(at):  # a million ids at a time, or one longer text
-        ends = np.cumsum(sizes[at[done:]])
-        some = at[done:done + max(1, int(np.searchsorted(ends, 1_000_000, side="right")))]
-        flat = np.minimum(np.concatenate([all_ids[i] for i in some]), len(vectors) - 1)
-        starts = np.cumsum(sizes[some]) - sizes[some]
-        points[some] = np.add.reduceat(vectors[flat], starts, axis=0, dtype=np.float64) / sizes[some, None]
-        done += len(some)
+        begin = ends[done] - sizes[at[done]]
+        stop = max(done + 1, int(np.searchsorted(ends, begin + 1_000_000, side="right")))
+        some = at[done:stop]
+        points[some] = np.add.reduceat(vectors[flat[begin:ends[stop - 1]]], ends[done:stop] - sizes[some] - begin, axis=0, dtype=np.float64) / sizes[some, None]
+        done = stop
     return points
 
 
+def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(start, end) of rows whose texts have ``limit`` bytes at most, or of one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield start, end
+        start = end
+
+
 def hashed_vectors(n: int, seed: int = 5) -> np.ndarray:
-    """A fixed random vector for each id; the last row stands for ids from n - 1 on."""
+    """A fixed random vector for each id."""
     return np.random.default_rng(seed).standard_normal((n, DIMS)).astype(np.float32)
 
 
@@ -172,7 +208,7 @@ def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, sequence: int = 2048, vocabulary: int = 49_408, partitions: int | None = None) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, sequence: int = 2048, partitions: int | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece.
 
     ``docs`` (doc_id, text; further columns are ignored). A document is its text's
@@ -185,17 +221,19 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, sequence: int =
     kind = dict(docs.dtypes)["doc_id"]
     base = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
 
+    vocabulary = max(_tokenizer(tokenizer_path).size, end_id + 1)
+    width = np.uint16 if vocabulary <= 1 << 16 else np.uint32
+
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors = hashed_vectors(vocabulary + 1)
+        known, vectors = _tokenizer(tokenizer_path), hashed_vectors(vocabulary)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for i in range(0, len(texts), SLICE):
-                all_ids = encode(texts[i:i + SLICE], tokenizer_path)
-                points = mean_vectors(all_ids, vectors)
-                small = vocabulary <= 1 << 16
-                blobs = [ids.astype(np.uint16 if small else np.uint32).tobytes() for ids in all_ids]
+            for a, b in slices(batch.column(1)):
+                flat, sizes = encode(batch.column(1)[a:b], known)
+                points = mean_vectors(flat, sizes, vectors)
+                bounds = np.concatenate([[0], np.cumsum(sizes)]) * width().itemsize
+                blobs = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(flat.astype(width))])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[i:i + SLICE], *(pa.array(points[:, d]) for d in range(DIMS)), pa.array([len(x) + 1 for x in all_ids], pa.int64()), pa.array(blobs, pa.binary())],
+                    [batch.column(0)[a:b], *(pa.array(points[:, d]) for d in range(DIMS)), pa.array(sizes + 1), blobs.cast(pa.binary())],
                     ["doc_id", *(f"x{d}" for d in range(DIMS)), "n", "ids"],
                 )
 
@@ -251,7 +289,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, sequence: int =
             for s, doc_id, n, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 if s != where:
                     where, position = s, starts[s]
-                ids = np.append(np.frombuffer(blob, np.uint16 if vocabulary <= 1 << 16 else np.uint32), end_id).astype("<u4")
+                ids = np.append(np.frombuffer(blob, width), end_id).astype("<u4")
                 begin = 0
                 while begin < n:
                     if position < last:

@@ -105,6 +105,33 @@ def test_viterbi_equals_brute_force(model):
         assert model.decode(token) == text
 
 
+@pytest.mark.parametrize(("shown", "words"), [
+    ("such a m o r o n", ["moron"]), ("s t u p i d  l o s e r", ["stupid", "loser"]), ("s t u p i d i d i o t", ["stupid", "idiot"]), ("i\td\ni\to\nt", ["idiot"]),
+    ("l-0-s-3-r", ["loser"]), ("stup_1d", ["stupid"]), ("m o o o r r r o n", ["moron"]),
+])
+def test_words_among_spaced_letters_are_found(model, shown, words):
+    text = f"the other {shown}, of that"
+    features, restored = tox.Restorer(model).features(text), tox.Restorer(model).restored_text(text)
+    for word in words:
+        assert set(tox.beginnings(word)) <= features and word in tox.WORD.findall(restored)
+
+
+@pytest.mark.parametrize("token", [
+    "1" + "a" * 1_000_000, "1" + "ab" * 100_000, "a-" * 300_000, "a1" * 50_000, "." * 800_000 + "x", "1 2 " * 200_000 + "12x", "1 a " * 10_000 + "12x", "-" * 900_000, "ab9" * 40_000 + "!",
+])
+def test_one_very_long_token_takes_linear_time(model, token):
+    import time
+
+    start = time.process_time()
+    tox.Restorer(model).features(token)
+    assert time.process_time() - start < 30
+
+
+def test_three_spaced_letters_and_no_labels(spark, docs):
+    assert tox.SPACED.search("an a s s there") and not tox.SPACED.search("it is a b") and not tox.SPACED.search("1 2 33")
+    assert set(tox.score_toxicity(docs.limit(5), spark.createDataFrame([], "doc_id long, toxic int")).toPandas().score) == {0.0}
+
+
 def test_plain_words_are_left_alone(model):
     text = "The theory, of that other thing! is 1999 in line 12."
     assert tox.Restorer(model).restored_text(text) == text

@@ -2,8 +2,8 @@
 
 A character model (four-grams of all words of the corpus) decodes suspicious
 tokens: digits and signs that stand for letters, letters spaced out, letters
-repeated. Each such token is a lattice of possible letters; Viterbi finds the
-likeliest reading. A logistic model over word beginnings and whole words, fitted
+repeated. Each such token is a lattice of possible letters, and of word ends where
+letters are spaced; Viterbi finds the likeliest reading. A logistic model over word beginnings and whole words, fitted
 on labelled rows, then scores each document with the restored words added.
 """
 
@@ -25,11 +25,15 @@ LEET = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
 WORD = re.compile(r"[^\W\d_]+")
+LETTER = re.compile(r"[^\W\d_]")
 _SIGNS = re.escape("".join(LEET))
-#: A sign before or between letters; a letter three times; three or more single characters in a row.
-LEETED = re.compile(rf"(?<![^\s\"'(\[])[{_SIGNS}]*(?:[^\W\d_]+[{_SIGNS}*._-]+)*[{_SIGNS}]+[^\W\d_][\w{_SIGNS}]*|[^\W\d_]+[{_SIGNS}]+[\w{_SIGNS}]*[^\W\d_][\w{_SIGNS}]*|[^\W\d_]{{2,}}[{''.join(re.escape(c) for c in LEET if c.isdigit())}]{{1,3}}(?!\w)")
-DRAWN = re.compile(r"[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*")
-SPACED = re.compile(rf"(?<![\w{_SIGNS}])(?:[^\W_][ .*_\-]{{1,2}}|[{_SIGNS}][ .*_\-]{{1,2}}){{3,}}(?:[^\W_]|[{_SIGNS}])(?![\w])")
+_OTHER_SIGNS = re.escape("".join(c for c in LEET if not c.isalnum()))
+SIGN = re.compile(rf"[{_SIGNS}]")
+#: What a disguised word may be written in, and what may separate its parts.
+UNIT, SEPARATORS = re.compile(rf"[\w{_SIGNS}*.\-]+"), re.compile(r"[*._\-]+")
+SIGN_FIRST, SIGN_BEFORE, DIGITS_LAST = re.compile(rf"[{_SIGNS}]+[^\W\d_]"), re.compile(rf"[{_SIGNS}][^\W\d_]"), re.compile(r"[^\W\d_]{2}[0-9]{1,3}\Z")
+#: Three or more single characters in a row, with one or two separators between.
+SPACED = re.compile(rf"(?<![\w{_SIGNS}])(?:[^\W_]|[{_OTHER_SIGNS}])(?:[\s.*_\-]{{1,2}}(?:[^\W_]|[{_OTHER_SIGNS}])(?![^\W_])){{2,}}+")
 PLAIN = re.compile(r"[^\W\d_]*[^\w@]*")
 THRICE = re.compile(r"(.)\1\1")
 GRAM_BUCKETS, CONTEXT_BUCKETS = 1 << 18, 1 << 16
@@ -99,11 +103,14 @@ class CharModel:
             self.memo[key] = found
         return found
 
-    def decode(self, token: str) -> str:
-        """The likeliest reading of one disguised token: Viterbi over states of the last three letters."""
-        states: dict[str, tuple[float, str]] = {"\n\n\n": (0.0, "")}
-        chars = token.lower()
-        i = 0
+    def decode(self, token: str, spaced: bool = False) -> str:
+        """The likeliest reading of one disguised token: Viterbi over states of the last three letters.
+
+        In a ``spaced`` token separators are nothing, and a word may end after every character; the reading has spaces then.
+        """
+        chars = [c for c in token.lower() if not spaced or c.isalnum() or c in LEET]
+        states: dict[str, tuple[float, tuple | None]] = {"\n\n\n": (0.0, None)}  # cost and (what is written, what was before)
+        logp, i = self.logp, 0
         while i < len(chars):
             c, run = chars[i], 1
             while i + run < len(chars) and chars[i + run] == c:
@@ -115,20 +122,59 @@ class CharModel:
                 options.append((cost, x))
                 if run > 1:
                     options.append((cost, x * 2))
+                if spaced:
+                    options.append((cost, f"{x} {x}" if run > 1 else f"{x} "))
+                    if run > 1:
+                        options += [(cost, f"{x} "), (cost, f"{x * 2} ")]
             if not c.isalpha():
                 options.append((DROP_COST * run if c in LEET else 0.0, ""))
-            after: dict[str, tuple[float, str]] = {}
+            after: dict[str, tuple[float, tuple | None]] = {}
             for state, (cost, path) in states.items():
                 for more, written in options:
                     s, total = state, cost + more
                     for x in written:
-                        total -= self.logp(s, x)
-                        s = s[1:] + x
+                        if x == " ":
+                            total -= logp(s, "\n")
+                            s = "\n\n\n"
+                        else:
+                            total -= logp(s, x)
+                            s = s[1:] + x
                     old = after.get(s)
-                    if old is None or (total, path + written) < old:
-                        after[s] = (total, path + written)
+                    if old is None or total < old[0]:
+                        after[s] = (total, (written, path))
             states = after
-        return min((cost - self.logp(s, "\n"), path) for s, (cost, path) in states.items())[1]
+        path = min(((cost - (logp(s, "\n") if s != "\n\n\n" else 0.0), k, path) for k, (s, (cost, path)) in enumerate(states.items())), key=lambda x: x[:2])[2]
+        read = []
+        while path:
+            written, path = path
+            read.append(written)
+        return "".join(reversed(read)).strip()
+
+
+def is_leeted(unit: str, first: bool) -> bool:
+    """Whether signs stand between letters, after two or more, or (in the ``first`` unit of a token) before them."""
+    letter = LETTER.search(unit)
+    if not letter:
+        return False
+    sign = SIGN.search(unit, letter.end())
+    return bool(first and SIGN_FIRST.match(unit) or sign and LETTER.search(unit, sign.end()) or DIGITS_LAST.search(unit[-5:]))
+
+
+def leeted(token: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Where the units of a token with letters under signs are, and where several units joined by separators are such a one."""
+    parts, joined = [], []
+    for m in UNIT.finditer(token):
+        run, at = m[0], m.start()
+        is_first = at == 0 or token[at - 1] in "\"'(["
+        start = 0
+        for sep in (*SEPARATORS.finditer(run), None):
+            end = sep.start() if sep else len(run)
+            if start < end and is_leeted(run[start:end], is_first and start == 0):
+                parts.append((at + start, at + end))
+            start = sep.end() if sep else end
+        if SEPARATORS.search(run.strip("*._-")) and SIGN_BEFORE.search(run) and is_leeted(run, is_first):
+            joined.append(m.span())
+    return parts, joined
 
 
 def beginnings(word: str) -> list[int]:
@@ -151,10 +197,9 @@ class Restorer:
         if word.isalpha() and not THRICE.search(word):
             return [word]
         out = WORD.findall(word)
-        disguised = (DRAWN,) if PLAIN.fullmatch(token) else (LEETED, DRAWN)
-        for pattern in disguised:
-            out += [x for m in pattern.finditer(token) if (x := self.model.decode(m[0]))]
-        return out
+        parts, joined = ([], []) if PLAIN.fullmatch(token) else leeted(token)
+        hidden = [token[a:b] for a, b in (*parts, *joined)] + [w for w in WORD.findall(token) if THRICE.search(w)]
+        return out + [x for h in hidden if (x := self.model.decode(h))]
 
     def _keep(self, words: list[str]) -> tuple[int, ...]:
         return tuple(f for w in words for f in beginnings(w) if self.wanted is None or f in self.wanted)
@@ -174,14 +219,24 @@ class Restorer:
             if own:
                 out.update(own)
         for m in SPACED.finditer(text):
-            out.update(self._keep([self.model.decode(m[0])]))
+            if LETTER.search(m[0]):
+                out.update(self._keep(self.model.decode(m[0], spaced=True).split()))
         return out
 
+    def _restored(self, token: str) -> str:
+        parts, joined = ([], []) if PLAIN.fullmatch(token) else leeted(token)
+        spans = sorted(parts or joined)
+        inside = [m.span() for m in WORD.finditer(token) if THRICE.search(m[0]) and not any(a <= m.start() < b for a, b in spans)] if THRICE.search(token) else []
+        out, at = [], 0
+        for a, b in sorted(spans + inside):
+            out += [token[at:a], self.model.decode(token[a:b]) or token[a:b]]
+            at = b
+        return "".join(out) + token[at:]
+
     def restored_text(self, text: str) -> str:
         """The text with every disguised token replaced by its reading."""
-        for pattern in (SPACED, LEETED, DRAWN):
-            text = pattern.sub(lambda m: self.model.decode(m[0]) or m[0], text)
-        return text
+        text = SPACED.sub(lambda m: LETTER.search(m[0]) and self.model.decode(m[0], spaced=True) or m[0], text)
+        return re.sub(r"\S+", lambda m: self._restored(m[0]), text)
 
 
 def fit_logistic(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, n_cols: int, l2: float = 0.02, steps: int = 400) -> tuple[np.ndarray, float]:
@@ -227,11 +282,12 @@ def score_toxicity(
 
     ``docs`` (doc_id, text; further columns are ignored), ``labels`` (doc_id, toxic).
     The character model counts all words of all documents. The logistic model is
-    fitted on at most ``sample_rows`` labelled rows that are not held out, chosen by hash.
+    fitted on at most ``sample_rows`` labelled rows that are not held out, chosen by
+    hash; it has at most ``max_features`` word beginnings, those that tell most.
 
     A null or empty text has no word and scores the base rate of the sample; a null
-    doc_id counts as not held out and is never learned from. Without any labels of
-    both kinds every score is 0. Repeated rows are scored alike, each on its own.
+    doc_id counts as not held out and is never learned from. Without labels of
+    both kinds every score is 0. A token of any length takes time in proportion to it. Repeated rows are scored alike, each on its own.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
@@ -265,7 +321,7 @@ def score_toxicity(
 
     n_rows, n_bad = sample.agg(F.count("*"), F.coalesce(F.sum((F.col("toxic") == 1).cast("long")), F.lit(0))).first()
     weights: dict[int, float] = {}
-    bias = -50.0
+    bias = -np.inf
     if n_bad and n_bad < n_rows:
         rate = n_bad / n_rows
         z = (F.col("bad") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate))
@@ -297,7 +353,7 @@ def score_toxicity(
             scores = []
             for text in batch.column(1).to_pylist():
                 logit = bias + sum(weights[f] for f in sorted(restore.features(text)))
-                scores.append(float(1 / (1 + np.exp(-min(max(logit, -30.0), 30.0)))))
+                scores.append(float(1 / (1 + np.exp(-min(max(logit, -30.0), 30.0)))) if np.isfinite(bias) else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     return base.mapInArrow(score, f"doc_id {kind}, score double").select(

@@ -43,11 +43,20 @@ def test_every_participant_is_the_assistant_once(spark):
     assert chat_perspectives.rotate(df.limit(0)).count() == 0
 
 
-def test_long_conversations_come_in_bounded_parts(spark):
-    df = spark.range(5000).select(F.lit(None).cast("long").alias("conv_id"), (F.col("id") % 2500).alias("turn"), F.element_at(F.array(F.lit("a"), F.lit("b")), (F.col("id") % 2 + 1).cast("int")).alias("role"), F.col("id").cast("string").alias("text"))
-    got = chat_perspectives.rotate(df, part_turns=100, group_rows=50)
-    assert got.agg(F.max("n_messages")).first()[0] < 120
-    assert got.where("perspective = 'a'").agg(F.sum("n_messages")).first()[0] == 5000
+def test_pieces_of_long_conversations_make_the_whole(spark):
+    """A null conversation of which a third is one repeated row, and another with null turns; joined pieces are the whole rendering, spans included."""
+    rows = [(None, i % 300, "ab"[i % 2], f"t{i * 7919 % 1009}") for i in range(1000)] + [(None, 77, "a", "again")] * 500
+    rows += [(5, None if i % 3 else i, "cd"[i % 2], f"u{i}") for i in range(130)] + [(6, 1, "e", "short")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    got = {}
+    for r in sorted(chat_perspectives.rotate(df, piece_rows=60).collect(), key=lambda r: r.piece):
+        text, spans, n = got.setdefault((r.conv_id, r.perspective), ("", [], []))
+        got[r.conv_id, r.perspective] = (text + r.text, spans + [(len(text) + s.start, len(text) + s.end) for s in r.spans], n + [r.n_messages])
+    for conv, people, sizes in ((None, "ab", [60] * 25), (5, "cd", [60, 60, 10]), (6, "e", [1])):
+        for who in people:
+            text, spans = render([r[1:] for r in rows if r[0] == conv], who)
+            assert got.pop((conv, who)) == (text, spans, sizes)
+    assert not got
 
 
 # --- packing

@@ -31,7 +31,7 @@ def op2_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rendered = chat_perspectives.rotate(table(spark, sf_dir, "conversations"))
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
-    return rendered.select("conv_id", "part", "piece", "perspective", "text", spans.alias("spans"), "n_messages")
+    return rendered.select("conv_id", "piece", "perspective", "text", spans.alias("spans"), "n_messages")
 
 
 def op4_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,20 +86,21 @@ def _quoted(s: str) -> str:
 ORACLES = {
     "op3_perspective_rotation": """
 WITH turns AS (
-  SELECT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS speaker, coalesce(text, '') AS text,
-         coalesce(CAST(floor(turn / 256) AS BIGINT), 0) AS part FROM conversations),
+  SELECT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
+cut AS (
+  SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, text) - 1) // 4096 AS piece FROM turns),
 people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> 'system'),
 shown AS (
-  SELECT t.conv_id, part, perspective, turn, speaker, text, speaker = perspective AS own,
+  SELECT t.conv_id, piece, perspective, turn, speaker, text, speaker = perspective AS own,
          CASE WHEN speaker = 'system' THEN '<|system|>' WHEN speaker = perspective THEN '<|assistant|>' ELSE '<|user name=' || speaker || '|>' END || chr(10) AS head,
          text || '<|end|>' || chr(10) AS body
-  FROM turns t JOIN people p ON t.conv_id = p.conv_id),
+  FROM cut t JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
 placed AS (
-  SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, part, perspective ORDER BY turn, speaker, text ROWS UNBOUNDED PRECEDING) AS until FROM shown)
-SELECT conv_id, part, CAST(0 AS BIGINT) AS piece, perspective, string_agg(head || body, '' ORDER BY turn, speaker, text) AS text,
-       coalesce(string_agg(CAST(until - length(body) AS BIGINT) || '-' || CAST(until AS BIGINT), ',' ORDER BY turn, speaker, text) FILTER (WHERE own), '') AS spans,
+  SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, piece, perspective ORDER BY turn NULLS FIRST, speaker, text ROWS UNBOUNDED PRECEDING) AS until FROM shown)
+SELECT conv_id, CAST(piece AS BIGINT) AS piece, perspective, string_agg(head || body, '' ORDER BY turn NULLS FIRST, speaker, text) AS text,
+       coalesce(string_agg(CAST(until - length(body) AS BIGINT) || '-' || CAST(until AS BIGINT), ',' ORDER BY turn NULLS FIRST, speaker, text) FILTER (WHERE own), '') AS spans,
        CAST(count(*) AS INTEGER) AS n_messages
-FROM placed GROUP BY conv_id, part, perspective""",
+FROM placed GROUP BY conv_id, piece, perspective""",
     "op9_licence_digests": f"""
 WITH known AS (
   SELECT sha256({_canonical_sql('body')}) AS digest, min(licence) AS licence

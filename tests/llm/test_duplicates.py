@@ -25,9 +25,10 @@ def union_find(n, links):
 def test_components(spark):
     rng = random.Random(3)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(i, i + 1) for i in range(500, 600)] + [(700, 701 + i) for i in range(50)]
-    got = {r.node: r.component for r in common.components(spark.createDataFrame(links, "src long, dst long")).collect()}
     want = union_find(800, links)
-    assert got == {x: want[x] for pair in links if pair[0] != pair[1] for x in pair}
+    for heavy in (1000, 5):  # few or many nodes are broadcast
+        got = {r.node: r.component for r in common.components(spark.createDataFrame(links, "src long, dst long"), heavy=heavy).collect()}
+        assert got == {x: want[x] for pair in links if pair[0] != pair[1] for x in pair}
     assert common.components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
@@ -83,22 +84,81 @@ def test_large_groups_in_blocks_equal_brute_force(spark, near_rows):
     assert as_rows(ngram_join.near_duplicates(docs, block_chars=3000)) == brute(rows)
 
 
-def test_prefixes_are_shortened_until_the_recall_is_reached(spark, near_rows, monkeypatch):
-    depths = []
-    plain = ngram_join._verify
-    monkeypatch.setattr(ngram_join, "_verify", lambda t, h, d, *a: depths.append(d) or (plain(t, h, d, *a)[0], 0.5 if len(depths) < 3 else 1.0))
-    ngram_join.near_duplicates(spark.createDataFrame(near_rows, "doc_id long, text string"))
-    assert depths == [depths[0], depths[0] - 1, depths[0] - 2]
+def test_giant_clusters_are_split_by_trie_nodes(spark, near_rows):
+    base = " ".join(f"x{i}" for i in range(120)).split()
+    rows = near_rows + [(1000 + i, " ".join(base[:i] + [f"y{i}"] + base[i + 1:])) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert as_rows(ngram_join.near_duplicates(docs, block_rows=16, spread=2)) == brute(rows)
+
+
+def levels(spark, monkeypatch, rows, **options):
+    """The depths that a run goes through, and its rows; nothing is replaced."""
+    depths, plain = [], ngram_join._verify
+    monkeypatch.setattr(ngram_join, "_verify", lambda p, k, depth, *a: depths.append(depth) or plain(p, k, depth, *a))
+    got = as_rows(ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), **options))
+    return depths, got
+
+
+def test_prefixes_are_shortened_until_the_recall_is_reached(spark, monkeypatch):
+    """Links of high similarity are all found by long prefixes; links near the threshold, or few of any kind, take shorter ones."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcdefghij") + str(rng.randrange(999)) for _ in range(400)) for _ in range(60)]
+    close = [(k * 60 + i, t + f" end{k}") for i, t in enumerate(texts) for k in range(6)]
+    depths, got = levels(spark, monkeypatch, close, target_recall=0.9999)
+    assert depths == [8] and got == brute(close)
+    far = [(k * 60 + i, t if not k else " ".join(t.split()[:400 - 36 * k])) for i, t in enumerate(texts) for k in range(3)]
+    depths, got = levels(spark, monkeypatch, far, target_recall=0.9999)
+    assert depths[:3] == [8, 7, 6] and got == brute(far)
+    depths, got = levels(spark, monkeypatch, far[:1], target_recall=0.99999)
+    assert depths == [8, 7, 6, 5, 4] and got == brute(far[:1])
+
+
+def test_estimated_recall():
+    rng = np.random.default_rng(1)
+    s = rng.uniform(0.8, 0.9, 40_000)
+    trees = rng.binomial(ngram_join.TREES, s**7)  # in how many trees each pair shares 7 min-hashes
+    deeper = rng.binomial(trees, s)
+    found = lambda x: np.bincount((s[x > 0] * 1000).astype(int), minlength=1001)
+    true = (trees > 0).mean()
+    assert abs(ngram_join.estimated_recall(found(trees), ((trees > 0) & (deeper == 0)).sum(), 7, 0.8) - true) < 0.0005 and true < 0.9995
+    assert ngram_join.estimated_recall(np.zeros(1001), 0, 8, 0.8) < 0.99
+    assert ngram_join.estimated_recall(found(trees), 4000, 7, 0.8) < true - 0.002  # more than expected came with this level
+
+
+def test_join_equals_all_pairs_of_a_table(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    sets, index = [shingle_set(t) for _, t in rows], {}
+    for i, own in enumerate(sets):
+        for x in own:
+            index.setdefault(x, []).append(i)
+    links = set()
+    for i, own in enumerate(sets):
+        shared = {}
+        for x in own:
+            for j in index[x]:
+                if j < i:
+                    shared[j] = shared.get(j, 0) + 1
+        links |= {(j, i) for j, n in shared.items() if 5 * n >= 4 * (len(own) + len(sets[j]) - n)}
+    n = [0] * len(rows)
+    for a, b in links:
+        n[a] += 1
+        n[b] += 1
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).toPandas().set_index("doc_id")
+    assert {r[0]: k for r, k in zip(rows, n, strict=True)} == got.n_links.to_dict() and len(links) > 100
+    assert got.kept.sum() == got.class_id.nunique()
 
 
 def test_near_duplicates_of_odd_rows(spark):
-    rows = [(1, None, "a", 1), (2, None, "a", 1), (3, "", "a", 1), (4, " \n", "a", 1), (5, "one", "a", 1), (6, "one", "b", 2), (6, "one", "b", 2), (None, "one", "b", 2), (7, "word " * 100_000, "c", 3), (8, "word " * 90_000, "c", 3)]
+    rows = [(1, None, "a", 1), (2, None, "a", 1), (3, "", "a", 1), (4, " \n", "a", 1), (5, "one", "a", 1), (6, "one", "b", 2), (6, "one", "b", 2), (None, "one", "b", 2), (None, "two", "b", 2), (None, "two", "b", 2), (7, "word " * 100_000, "c", 3), (8, "word " * 90_000, "c", 3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, body string, node int")
-    got = ngram_join.near_duplicates(docs).toPandas()
-    assert len(got) == len(rows)
+    got = ngram_join.near_duplicates(docs, carry=("node", "body")).toPandas()
+    assert len(got) == len(rows) and sorted(got.body) == sorted(r[2] for r in rows)
     by = got.dropna(subset=["doc_id"]).groupby("doc_id")
-    assert by.n_links.max().to_dict() == {1: 0, 2: 0, 3: 0, 4: 0, 5: 2, 6: 2, 7: 1, 8: 1}
+    assert by.n_links.max().to_dict() == {1: 0, 2: 0, 3: 0, 4: 0, 5: 3, 6: 3, 7: 1, 8: 1}
     assert by.class_id.max().to_dict() == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 5, 7: 7, 8: 7}
+    assert by.kept.sum().to_dict() == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 0, 7: 1, 8: 0}
+    nameless = got[got.doc_id.isna()].sort_values(["n_links", "kept"])
+    assert nameless.n_links.tolist() == [1, 1, 3] and nameless.kept.tolist() == [False, True, False]
     assert ngram_join.near_duplicates(docs.limit(0)).count() == 0
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,10 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share; one of our own only in local mode, where the session names none."""
     sc = spark.sparkContext
     folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="veilframe-")
         sc.setCheckpointDir(folder)
     return folder
@@ -35,13 +38,28 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
+def _with_least(pairs: DataFrame, key: str, value: str, heavy: int, rows: int) -> DataFrame:
+    """``pairs``, of at most ``rows`` rows, with m, the least ``value`` of each ``key``.
+
+    Keys of ``heavy`` rows or more, of which there are at most rows / heavy, are broadcast, so no key is one task's.
+    """
+    low = pairs.groupBy(key).agg(F.min(value).alias("m"), F.count("*").alias("degree"))
+    if rows < heavy:  # no key can have so many
+        return pairs.join(low.drop("degree"), key).select(*pairs.columns, "m")
+    large = low.where(F.col("degree") >= heavy).select(key, F.col("m").alias("of_heavy"))
+    marked = pairs.join(F.broadcast(large), key, "left")
+    done = marked.where("of_heavy is not null").select(*pairs.columns, F.col("of_heavy").alias("m"))
+    rest = marked.where("of_heavy is null").select(*pairs.columns)
+    return done.union(rest.join(low.where(F.col("degree") < heavy).select(key, "m"), key).select(*pairs.columns, "m"))
+
+
+def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60, heavy: int = 1000, broadcast_rows: int = 50_000) -> DataFrame:
     """(node, component) of every node that ``edges`` name; component is the smallest node reachable.
 
     Alternates two contractions until nothing changes: every node's larger
     neighbours are hung on its smallest neighbour, then its smaller ones. Smallest
-    neighbours come from an aggregate with map-side combine and a join that Spark
-    may split where one node is hot, so no neighbour list is ever gathered.
+    neighbours come from an aggregate with map-side combine and a join in which nodes
+    of many edges are broadcast, ``broadcast_rows`` of them at most, so no neighbour list is ever gathered.
     """
     pairs = (
         edges.select(F.least(src, dst).alias("u"), F.greatest(src, dst).alias("v"))
@@ -50,11 +68,13 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds:
     pairs = saved(pairs)
     before = None
     for _ in range(max_rounds):
+        state = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        if state == before or not state.n:
+            break
+        before, many = state, max(heavy, -(-2 * state.n // broadcast_rows))
         both = pairs.union(pairs.select("v", "u")).toDF("u", "v")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u"), F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u and v > m").select(F.col("m").alias("u"), "v").distinct()
-        low = large.groupBy("v").agg(F.min("u").alias("m"))
-        joined = large.join(low, "v")
+        large = _with_least(both, "u", "v", many, 2 * state.n).select(F.least("u", "m").alias("m"), "u", "v").where("v > u and v > m").select(F.col("m").alias("u"), "v").distinct()
+        joined = _with_least(large, "v", "u", many, 2 * state.n)
         small = joined.select(
             F.explode(F.array(
                 F.struct(F.col("m").alias("u"), F.col("v").alias("v")),
@@ -62,10 +82,6 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds:
             )).alias("e")
         ).select("e.u", "e.v").where("u < v").distinct()
         pairs = saved(small)
-        state = pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if state == before:
-            break
-        before = state
     else:
         raise RuntimeError("connected components did not settle")
     roots = pairs.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()

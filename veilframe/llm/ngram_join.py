@@ -1,10 +1,11 @@
 """N-gram Jaccard self-join with a MinHash LSH forest.
 
 Each distinct text has one signature per tree, a row of min-hashes that is read as
-a path in a prefix trie. Texts that share a long enough prefix in any tree are
-candidates and are verified exactly on their shingle sets. The prefix starts as
-long as the target recall allows for the threshold, and is shortened, level by
-level, until the recall estimated from the verified pairs reaches the target.
+its path in a prefix trie. Level by level, from the longest prefix on, the nodes of
+the tries that branch at that depth bring together the texts below them: pairs whose
+longest common prefix, over all trees, ends there. They are verified exactly on their
+shingle sets. Prefixes are shortened until the recall that is estimated from the links
+found so far, their similarities and what the last level added, reaches the target.
 Candidates are verified in blocks of bounded size that return counts and a few
 links per text, never all pairs.
 """
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.llm.common import components, saved
@@ -89,29 +90,65 @@ def _signatures(blobs: list[bytes]) -> np.ndarray:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(2).to_pylist()
+        texts = batch.column(1).to_pylist()
         blobs = [signature(s) if len(s) else None for s in map(shingles, texts)]
         chars = pa.array([len(t or "") for t in texts], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(blobs, pa.binary()), chars], ["doc_id", "body", "signature", "chars"])
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(blobs, pa.binary()), chars], [*batch.schema.names, "signature", "chars"],
+        )
 
 
-def _pairs_of(cluster: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs i < j of one cluster whose prefix keys meet in some tree, each once."""
-    found = []
-    n = len(cluster)
-    for tree in range(keys.shape[1]):
-        order = np.lexsort((keys[:, tree], cluster))
-        c, k = cluster[order], keys[order, tree]
+def _triangle(at: np.ndarray, limit: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs i < j of the sorted indices, about ``limit`` at a time."""
+    n, start = len(at), 0
+    while start < n - 1:
+        stop = min(n - 1, start + max(1, limit // (n - start)))
+        sizes = n - 1 - np.arange(start, stop)
+        first = np.repeat(np.arange(start, stop), sizes)
+        second = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + first + 1
+        yield at[first], at[second]
+        start = stop
+
+
+def _pairs_of(cluster: np.ndarray, keys: np.ndarray, deeper: np.ndarray | None, tree: int = -1) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs i < j of one cluster whose longest common prefix ends at the depth of ``keys``, each once.
+
+    ``keys`` and ``deeper`` (n x TREES) name the trie nodes of this depth and the next. A pair
+    belongs to the first tree in which it meets; where ``tree`` is given only its pairs are returned.
+    """
+    for t in range(keys.shape[1]) if tree < 0 else (tree,):
+        order = np.lexsort((keys[:, t], cluster))
+        c, k = cluster[order], keys[order, t]
         edges = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (k[1:] != k[:-1]), True])
         for a, b in zip(edges[:-1][np.diff(edges) > 1], edges[1:][np.diff(edges) > 1], strict=True):
-            at = np.sort(order[a:b]).astype(np.int64)
-            i, j = np.triu_indices(len(at), 1)
-            found.append(at[i] * n + at[j])
-        if sum(map(len, found)) > 4_000_000:
-            found = [np.unique(np.concatenate(found))]
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.divmod(np.unique(np.concatenate(found)), n)
+            at = np.sort(order[a:b])
+            if deeper is not None and (deeper[at, t] == deeper[at[0], t]).all():
+                continue  # this node doesn't branch
+            for i, j in _triangle(at):
+                if deeper is not None:
+                    apart = (deeper[i, t] != deeper[j, t]) & ~(deeper[i] == deeper[j]).any(axis=1)
+                    i, j = i[apart], j[apart]
+                first = ~(keys[i, :t] == keys[j, :t]).any(axis=1)
+                yield i[first], j[first]
+
+
+def _batched(pairs: Iterator[tuple[np.ndarray, np.ndarray]], limit: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same pairs, sorted by i, in batches of about ``limit``."""
+    waiting, size = [], 0
+
+    def batch() -> tuple[np.ndarray, np.ndarray]:
+        i, j = (np.concatenate([x[k] for x in waiting]) for k in range(2))
+        order = np.argsort(i, kind="stable")
+        return i[order], j[order]
+
+    for i, j in pairs:
+        waiting.append((i, j))
+        size += len(i)
+        if size >= limit:
+            yield batch()
+            waiting, size = [], 0
+    if size:
+        yield batch()
 
 
 def _overlaps(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -146,109 +183,165 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = new
 
 
+def estimated_recall(links: np.ndarray, new: float, depth: int, threshold: float) -> float:
+    """The share of all links that prefixes of ``depth`` have found, by the links found so far.
+
+    ``links`` counts them by thousandths of similarity, the ``new`` ones of this level
+    included. A link of similarity s stands for 1 / level_recall(s) links; one link at the
+    threshold is added, so that few links prove nothing. Where this level added more than
+    the levels before it let expect, what is still missing is taken to be as much more.
+    """
+    s = np.maximum(np.arange(1001) / 1000, threshold)
+    counts = links.astype(float)
+    counts[int(threshold * 1000)] += 1
+    now = level_recall(s, depth)
+    missing, surprise = float((counts * (1 / now - 1)).sum()), 1.0
+    if depth < DEPTH:
+        before = level_recall(s, depth + 1)
+        expected = float((counts / now * (now - before)).sum())
+        surprise = max(1.0, (new + 1) / (expected + 1))
+    return float(counts.sum() / (counts.sum() + missing * surprise))
+
+
 def near_duplicates(
-    docs: DataFrame, threshold: float = 0.8, target_recall: float = 0.9995, block_rows: int = 2048,
-    block_chars: int = 16_000_000, least_depth: int = 3,
+    docs: DataFrame, threshold: float = 0.8, target_recall: float = 0.9999, block_rows: int = 2048,
+    block_chars: int = 16_000_000, least_depth: int = 4, spread: int = TREES, carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, n_links, class_id, kept of every row of ``docs`` (doc_id, text; further columns are ignored).
+    """doc_id, n_links, class_id, kept of every row of ``docs`` (doc_id, text; of further columns those in ``carry`` are returned too).
 
     Two rows are linked if the Jaccard similarity of their sets of five-word runs is
     at least ``threshold``; words are what stands between ASCII white space, case and
     signs kept, and a text of fewer than five words is one run. Equal texts are linked.
     n_links counts other rows linked directly, class_id is the smallest doc_id that
-    links reach, and kept marks one row for each class: that of its smallest doc_id.
+    links reach, and kept marks exactly one row of each class: one of its smallest doc_id.
 
-    A null or wordless text links with nothing, equal or not: it is a class of its own
-    with no links. Repeated rows are copies that link; of several rows with the class's
-    doc_id all are kept, as they cannot be told apart. Rows with a null doc_id are returned with a null
-    class and no links. An empty table gives no rows.
+    A null or wordless text links with nothing, equal or not: each such row is a class of
+    its own. Repeated rows are copies that link, and one of them is kept. Rows with a null
+    doc_id link like others; a class of such rows alone has a null class_id and one row
+    kept. An empty table gives no rows.
     """
     kind = dict(docs.dtypes)["doc_id"]
-    base = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
-    hashed = base.select("doc_id", F.unhex(F.md5("text")).alias("body"), "text")
-    signed = saved(hashed.mapInArrow(_sign, f"doc_id {kind}, body binary, signature binary, chars long"))
-    usable = signed.where("doc_id is not null and signature is not null")
+    kinds = [(f"__c{i}", dict(docs.dtypes)[c]) for i, c in enumerate(carry)]
+    base = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"), *(F.col(c).alias(k) for c, (k, _) in zip(carry, kinds, strict=True)))
+    schema = ", ".join(["doc_id " + kind, "text string", *(f"{k} {t}" for k, t in kinds), "signature binary, chars long"])
+    signed = base.mapInArrow(_sign, schema).withColumn("body", F.unhex(F.md5("text"))).withColumn("row", F.monotonically_increasing_id())
+    signed = saved(signed)  # written, so each row keeps its number
+    usable = signed.where("signature is not null")
     texts = saved(
-        usable.groupBy("body").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("signature").alias("signature"), F.first("chars").alias("chars"))
-        .withColumn("node", F.monotonically_increasing_id())  # written below, so each text keeps its number
+        usable.groupBy("body").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("rep"), F.count("*").alias("copies"),
+            F.first("signature").alias("signature"), F.first("chars").alias("chars"),
+        ).withColumn("node", F.monotonically_increasing_id())
     )
-    depth = max((d for d in range(1, DEPTH + 1) if level_recall(threshold, d) >= target_recall), default=1)
-    while True:
-        found, recall = _verify(texts, hashed, depth, threshold, block_rows, block_chars)
-        if recall >= target_recall or depth <= least_depth:
+    paths, known = _forest(texts, signed, least_depth)
+    found, links = [], np.zeros(1001)
+    for depth in range(DEPTH, least_depth - 1, -1):
+        level = _verify(paths, known, depth, threshold, block_rows, block_chars, spread)
+        found.append(level.where("node is not null"))
+        new = np.zeros(1001)
+        for s, n in level.where("node is null").groupBy("other").agg(F.sum("n")).collect():  # a row for each thousandth
+            new[s] = n
+        links += new
+        if estimated_recall(links, new.sum(), depth, threshold) >= target_recall:
             break
-        depth -= 1
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
 
-    links = found.where("other is null").groupBy("node").agg(F.sum("n").alias("n"))
-    joined = components(found.where("other is not null").select(F.col("node").alias("src"), F.col("other").alias("dst")))
-    ids = texts.select("node", "body", "rep", "copies").join(links, "node", "left").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = ids.groupBy("component").agg(F.min("rep").alias("class_id"))
-    classes = ids.join(least, "component").select("body", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "class_id")
-    linked = usable.select("doc_id", "body").join(classes, "body").select("doc_id", "n_links", "class_id")
-    alone = signed.where("doc_id is null or signature is null").select("doc_id", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("class_id"))
-    return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    counts = every.where("other is null").groupBy("node").agg(F.sum("n").alias("n"))
+    joined = components(every.where("other is not null").select(F.col("node").alias("src"), F.col("other").alias("dst")))
+    ids = texts.select("node", "body", "rep", "copies").join(counts, "node", "left").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = ids.groupBy("component").agg(F.min("rep").alias("least"))
+    classes = ids.join(least, "component").select("body", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "least")
+    own = [F.col(k).alias(c) for c, (k, _) in zip(carry, kinds, strict=True)]
+    linked = usable.drop("signature", "text").join(classes, "body").select("doc_id", *own, "n_links", F.col("least.doc_id").alias("class_id"), (F.col("row") == F.col("least.row")).alias("kept"))
+    alone = signed.where("signature is null").select("doc_id", *own, F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"))
+    return linked.unionByName(alone)
 
 
-def _verify(texts: DataFrame, hashed: DataFrame, depth: int, threshold: float, block_rows: int, block_chars: int) -> tuple[DataFrame, float]:
-    """Verified links of all texts that share a prefix of ``depth``, and their estimated recall.
+def _prefix(depth: int) -> Column:
+    return F.xxhash64("tree", F.expr(f"substring(path, 1, {2 * depth})"))
 
-    Rows are (node, other null, n): n rows of other texts are linked with node in one
-    group; and (node, other): a link that, with its like, spans what a group connects.
-    """
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                found = _prefix_keys(_signatures(batch.column(1).to_pylist()), depth).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), TREES)), pa.array(found.ravel())], ["node", "prefix"])
-
-    paths = texts.select("node", "signature").mapInArrow(keys, "node long, prefix long")
-    shared = paths.groupBy("prefix").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("prefix", "low")
-    stars = paths.join(shared, "prefix").where("node > low").select(F.col("low").alias("src"), F.col("node").alias("dst"))
-    clusters = saved(components(stars).join(texts.select("node", "chars"), "node").withColumnRenamed("component", "cluster"))
-    sizes = clusters.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / block_rows), F.ceil(F.sum("chars") / block_chars)).cast("int").alias("blocks"))
-    members = clusters.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
-    n_small, small_chars = members.where("blocks = 1").agg(F.count("*"), F.coalesce(F.sum("chars"), F.lit(0))).first()
-    bins = max(1, -(-n_small // block_rows), -(-small_chars // block_chars))
-    # small clusters share a bin; a large one is dealt to blocks, and each pair of its blocks is a group
-    full = members.join(texts.select("node", "rep", "body", "copies", "signature"), "node").join(
-        hashed.select(F.col("doc_id").alias("rep"), "body", "text"), ["rep", "body"]
+def _forest(texts: DataFrame, signed: DataFrame, least_depth: int) -> tuple[DataFrame, DataFrame]:
+    """The tries' paths (node, tree, path) that share a prefix of ``least_depth`` with another text's, and the texts that have one."""
+    paths = texts.select("node", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "signature").select(
+        "node", "tree", F.expr(f"substring(signature, tree * {2 * DEPTH} + 1, {2 * DEPTH})").alias("path")
     )
-    pair = F.when(F.col("blocks") == 1, F.array(F.struct(F.lit(-1).alias("i"), F.pmod(F.xxhash64("cluster"), F.lit(bins)).cast("int").alias("j")))).otherwise(
+    rows = paths.withColumn("prefix", _prefix(least_depth))
+    shared = rows.groupBy("prefix").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("prefix")
+    met = saved(rows.join(shared, "prefix", "left_semi").select("node", "tree", "path"))
+    nodes = met.select("node").distinct()
+    known = texts.join(nodes, "node", "left_semi").select("node", F.col("rep.row").alias("row"), "copies", "signature", "chars")
+    return met, saved(known.join(signed.select("row", "text"), "row").drop("row"))
+
+
+def _verify(paths: DataFrame, known: DataFrame, depth: int, threshold: float, block_rows: int, block_chars: int, spread: int) -> DataFrame:
+    """Verified links of the texts whose longest common prefix in any tree ends at ``depth``.
+
+    Rows are (node, other null, n): n rows of other texts are linked with node in one
+    group; (node, other): a link that, with its like, spans what a group connects; and
+    (node null, other, n): n links of a similarity of ``other`` thousandths.
+    """
+    child = _prefix(depth + 1) if depth < DEPTH else F.col("node")
+    rows = paths.select("node", "tree", _prefix(depth).alias("prefix"), child.alias("child"))
+    branching = rows.groupBy("prefix").agg(F.min("child").alias("a"), F.max("child").alias("b"), F.min("node").alias("low")).where("a < b").select("prefix", "low")
+    met = saved(rows.select("node", "tree", "prefix").join(branching, "prefix"))
+    stars = met.where("node > low").select(F.col("low").alias("src"), F.col("node").alias("dst"))
+    clusters = components(stars).join(known.select("node", "chars"), "node").select("node", "chars", F.col("component").alias("cluster"))
+    clusters = saved(clusters)
+
+    def blocks() -> Column:
+        return F.greatest(F.ceil(F.count("*") / block_rows), F.ceil(F.sum("chars") / block_chars)).cast("int").alias("blocks")
+
+    sizes = saved(clusters.groupBy("cluster").agg(blocks()))
+    # a small cluster has a bin; of a large one each pair of its blocks is a group; one of more blocks than there
+    # are trees is taken apart by trie nodes, so that none of its texts is sent to all of them
+    parts = clusters.join(sizes.where(F.col("blocks") <= spread), "cluster").select("node", "cluster", F.lit(-1).alias("tree"), "chars", "blocks")
+    huge = sizes.where(F.col("blocks") > spread).select("cluster")
+    if not huge.isEmpty():
+        split = met.join(clusters.join(huge, "cluster", "left_semi").select("node", "chars"), "node").select("node", F.col("prefix").alias("cluster"), "tree", "chars")
+        parts = parts.unionByName(split.join(split.groupBy("cluster").agg(blocks()), "cluster").select("node", "cluster", "tree", "chars", "blocks"))
+    parts = parts.withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
+    small = parts.where("blocks = 1 and tree < 0").agg(F.count("*"), F.coalesce(F.sum("chars"), F.lit(0))).first()
+    bins = max(1, -(-small[0] // block_rows), -(-small[1] // block_chars))
+    is_small = (F.col("blocks") == 1) & (F.col("tree") < 0)
+    pair = F.when(is_small, F.array(F.struct(F.lit(-1).alias("i"), F.pmod(F.xxhash64("cluster"), F.lit(bins)).cast("int").alias("j")))).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(F.least(b, F.col("block")).alias("i"), F.greatest(b, F.col("block")).alias("j")))
     )
-    grouped = full.withColumn("pair", F.explode(pair)).select(
-        F.when(F.col("blocks") > 1, F.col("cluster")).alias("large"), F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "node", "cluster", "block", "copies", "signature", "text",
+    grouped = parts.join(known.drop("chars"), "node").withColumn("pair", F.explode(pair)).select(
+        F.when(~is_small, F.col("cluster")).alias("large"), F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "tree", "node", "cluster", "block", "copies", "signature", "text",
     )
 
     def verify(group: pa.Table) -> pa.Table:
-        node, first = np.unique(group["node"].to_numpy(), return_index=True)  # repeated rows bring a text twice
-        group = group.take(pa.array(first))
         sets = [shingles(t) for t in group["text"].to_pylist()]
-        cluster, block, copies = (group[c].to_numpy() for c in ("cluster", "block", "copies"))
-        i, j = _pairs_of(cluster, _prefix_keys(_signatures(group["signature"].to_pylist()), depth))
-        if group["i"][0].as_py() >= 0 and group["i"][0] != group["j"][0]:  # pairs within a block belong to the group (b, b)
-            across = block[i] != block[j]
-            i, j = i[across], j[across]
+        node, cluster, block, copies = (group[c].to_numpy() for c in ("node", "cluster", "block", "copies"))
+        signatures = _signatures(group["signature"].to_pylist())
+        keys, deeper = _prefix_keys(signatures, depth), _prefix_keys(signatures, depth + 1) if depth < DEPTH else None
         sizes = np.array([len(s) for s in sets])
-        close = np.minimum(sizes[i], sizes[j]) >= threshold * np.maximum(sizes[i], sizes[j])
-        i, j = i[close], j[close]
-        both = _overlaps(sets, i, j)
-        union = sizes[i] + sizes[j] - both
-        linked = both >= threshold * union - 1e-9
-        i, j, similarity = i[linked], j[linked], both[linked] / union[linked]
-        n = np.bincount(i, copies[j], len(node)) + np.bincount(j, copies[i], len(node))
+        is_across = group["i"][0].as_py() >= 0 and group["i"][0] != group["j"][0]  # pairs within a block belong to the group (b, b)
+        n, found, similar = np.zeros(len(node), np.int64), [], np.zeros(1001, np.int64)
+        for i, j in _batched(_pairs_of(cluster, keys, deeper, group["tree"][0].as_py())):
+            close = np.minimum(sizes[i], sizes[j]) >= threshold * np.maximum(sizes[i], sizes[j]) - 1e-9
+            if is_across:
+                close &= block[i] != block[j]
+            i, j = i[close], j[close]
+            both = _overlaps(sets, i, j)
+            union = sizes[i] + sizes[j] - both
+            linked = both >= threshold * union - 1e-9
+            i, j = i[linked], j[linked]
+            n += (np.bincount(i, copies[j], len(node)) + np.bincount(j, copies[i], len(node))).astype(np.int64)
+            similar += np.bincount((1000 * both[linked] / union[linked] + 1e-9).astype(np.int64), minlength=1001)
+            root = _roots(len(node), i, j)
+            child = np.flatnonzero(root != np.arange(len(node)))
+            found.append((child, root[child]))
+        i, j = (np.concatenate([x[k] for x in found]) if found else np.empty(0, np.int64) for k in range(2))
         root = _roots(len(node), i, j)
-        some, child = np.flatnonzero(n), np.flatnonzero(root != np.arange(len(node)))
-        expected = float((1 / level_recall(similarity, depth)).sum())
+        some, child, at = np.flatnonzero(n), np.flatnonzero(root != np.arange(len(node))), np.flatnonzero(similar)
         return pa.table({
-            "node": pa.array(np.concatenate([node[some], node[child], node[:1]])),
-            "other": pa.array([None] * len(some) + node[root[child]].tolist() + [None], pa.int64()),
-            "n": pa.array(np.concatenate([n[some], np.zeros(len(child) + 1)]).astype(np.int64)),
-            "pairs": pa.array([0.0] * (len(some) + len(child)) + [float(len(i))]),
-            "expected": pa.array([0.0] * (len(some) + len(child)) + [expected]),
+            "node": pa.array(node[some].tolist() + node[child].tolist() + [None] * len(at), pa.int64()),
+            "other": pa.array([None] * len(some) + node[root[child]].tolist() + at.tolist(), pa.int64()),
+            "n": pa.array(np.concatenate([n[some], np.zeros(len(child), np.int64), similar[at]])),
         })
 
-    found = saved(grouped.groupBy("large", "i", "j").applyInArrow(verify, "node long, other long, n long, pairs double, expected double"))
-    pairs, expected = found.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)), F.coalesce(F.sum("expected"), F.lit(0.0))).first()
-    return found.select("node", "other", "n"), (pairs / expected if expected else 1.0)
+    return saved(grouped.groupBy("large", "i", "j", "tree").applyInArrow(verify, "node long, other long, n long"))

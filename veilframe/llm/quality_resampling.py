@@ -145,10 +145,10 @@ def top_k_threshold(scored: DataFrame, key: str, k: int, bins: int = 4096) -> fl
     return lo
 
 
-def judge(docs: DataFrame, labels: DataFrame, seed: int = 7, target_rows: int = 50_000, temperature: float = 1.0) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, seed: int = 7, target_rows: int = 50_000, temperature: float = 1.0, carry: tuple[str, ...] = ()) -> DataFrame:
     """Draw the documents that read like the labelled good ones.
 
-    ``docs`` (doc_id, text; further columns are ignored), ``labels`` (doc_id, quality).
+    ``docs`` (doc_id, text; of further columns those in ``carry`` are returned too), ``labels`` (doc_id, quality).
     The target model is fitted on at most ``target_rows`` good documents, chosen by
     hash; the raw model counts all documents. Returns one row per document:
     doc_id, log_weight, sample_key, kept (whether it was drawn).
@@ -159,7 +159,8 @@ def judge(docs: DataFrame, labels: DataFrame, seed: int = 7, target_rows: int =
     in the first case all documents are drawn, in the second the result is empty.
     """
     spark = docs.sparkSession
-    base = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
+    kinds = [(f"__c{i}", dict(docs.dtypes)[c]) for i, c in enumerate(carry)]
+    base = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"), *(F.col(c).alias(k) for c, (k, _) in zip(carry, kinds, strict=True)))
     known = labels.where("quality is not null and doc_id is not null").select("doc_id", "quality")
     n_known, n_good = known.agg(F.count("*"), F.coalesce(F.sum((F.col("quality") == 1).cast("long")), F.lit(0))).first()
     good = (
@@ -180,10 +181,10 @@ def judge(docs: DataFrame, labels: DataFrame, seed: int = 7, target_rows: int =
         table = ratios.value
         for batch in batches:
             weights = [float(table[features(t)].sum()) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weights, pa.float64())], ["doc_id", "log_weight"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weights, pa.float64()), *batch.columns[2:]], ["doc_id", "log_weight", *batch.schema.names[2:]])
 
     kind = dict(base.dtypes)["doc_id"]
-    scored = base.mapInArrow(score, f"doc_id {kind}, log_weight double")
+    scored = base.mapInArrow(score, ", ".join([f"doc_id {kind}, log_weight double", *(f"{k} {t}" for k, t in kinds)]))
     scored = saved(scored.withColumn("sample_key", F.col("log_weight") / F.lit(temperature) + _gumbel(F.col("doc_id"), seed)))
     if n_good:
         share = F.least(F.lit(1.0), F.exp(F.least(F.col("log_weight"), F.lit(50.0))) * F.lit(n_good / n_known))
@@ -191,7 +192,8 @@ def judge(docs: DataFrame, labels: DataFrame, seed: int = 7, target_rows: int =
     else:
         k = scored.count()
     cut = top_k_threshold(scored, "sample_key", k)
-    return scored.withColumn("kept", F.col("sample_key") >= F.lit(cut))
+    own = [F.col(k).alias(c) for c, (k, _) in zip(carry, kinds, strict=True)]
+    return scored.select("doc_id", *own, "log_weight", "sample_key", (F.col("sample_key") >= F.lit(cut)).alias("kept"))
 
 
 def resample(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

@@ -276,11 +276,11 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def score_toxicity(
-    docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, max_features: int = 2048, min_z: float = 5.0, cutoff: float = 0.7, seed: int = 11,
+    docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, max_features: int = 2048, min_z: float = 5.0, cutoff: float = 0.7, seed: int = 11, carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """doc_id, held_out, score, predicted of every document.
 
-    ``docs`` (doc_id, text; further columns are ignored), ``labels`` (doc_id, toxic).
+    ``docs`` (doc_id, text; of further columns those in ``carry`` are returned too), ``labels`` (doc_id, toxic).
     The character model counts all words of all documents. The logistic model is
     fitted on at most ``sample_rows`` labelled rows that are not held out, chosen by
     hash; it has at most ``max_features`` word beginnings, those that tell most.
@@ -291,7 +291,8 @@ def score_toxicity(
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
-    base = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
+    kinds = [(f"__c{i}", dict(docs.dtypes)[c]) for i, c in enumerate(carry)]
+    base = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"), *(F.col(c).alias(k) for c, (k, _) in zip(carry, kinds, strict=True)))
     found = base.select("text").mapInArrow(_count_grams, "kind int, bucket long, n double").groupBy("kind", "bucket").agg(F.sum("n").alias("n")).toPandas()
     # at most GRAM_BUCKETS + CONTEXT_BUCKETS rows, whatever the corpus
     grams, contexts = np.zeros(GRAM_BUCKETS), np.zeros(CONTEXT_BUCKETS)
@@ -354,8 +355,9 @@ def score_toxicity(
             for text in batch.column(1).to_pylist():
                 logit = bias + sum(weights[f] for f in sorted(restore.features(text)))
                 scores.append(float(1 / (1 + np.exp(-min(max(logit, -30.0), 30.0)))) if np.isfinite(bias) else 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), *batch.columns[2:]], ["doc_id", "score", *batch.schema.names[2:]])
 
-    return base.mapInArrow(score, f"doc_id {kind}, score double").select(
-        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= cutoff).cast("int").alias("predicted"),
+    own = [F.col(k).alias(c) for c, (k, _) in zip(carry, kinds, strict=True)]
+    return base.mapInArrow(score, ", ".join([f"doc_id {kind}, score double", *(f"{k} {t}" for k, t in kinds)])).select(
+        "doc_id", *own, held_out().alias("held_out"), "score", (F.col("score") >= cutoff).cast("int").alias("predicted"),
     )

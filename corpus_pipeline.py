@@ -1,41 +1,63 @@
 """Corpus pipeline: quality, toxicity, near duplicates, packing.
 
 Each stage takes (spark, docs, sf_dir); its result is written as Parquet and read
-back as the next stage's docs. All but the last return the columns of ``docs``
-for the documents that they keep. Rows of a null doc_id are named by no decision
-and so stay.
+back as the next stage's docs. All but the last return the columns of ``docs``, in
+any number and under any names, for the rows that they keep. Decisions are by row: a
+stage numbers the rows of its input, so of rows that share a doc_id, or have none, each
+stays or goes on its own. An empty table goes through all stages.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from veilframe.llm import curve_packing, ngram_join, quality_resampling, toxicity_channel
 from veilframe.llm.common import saved, table
 from veilframe.llm.queries import tokenizer_file
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    return docs.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs``, written with a number for each row, and the name of that column."""
+    name = "row"
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return saved(docs.withColumn(name, F.monotonically_increasing_id())), name
+
+
+def _kept(numbered: DataFrame, row: str, verdicts: DataFrame, keep: str) -> DataFrame:
+    """The rows for which the verdicts say ``keep``, without their number."""
+    return numbered.join(verdicts.where(keep).select(row), row, "left_semi").drop(row)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that importance resampling draws."""
-    return _without(docs, quality_resampling.judge(docs, table(spark, sf_dir, "labels")).where("not kept"))
+    """Rows that importance resampling draws.
+
+    A null or empty text is as likely target as raw. Repeated rows, and rows of a null
+    doc_id, have equal keys where doc_id and text are equal, and are drawn or left together.
+    """
+    numbered, row = _numbered(docs)
+    return _kept(numbered, row, quality_resampling.judge(numbered, table(spark, sf_dir, "labels"), carry=(row,)), "kept")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not predicted toxic."""
-    return _without(docs, toxicity_channel.score_toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1"))
+    """Rows that are not predicted toxic. A null or empty text has the base rate; repeated rows stay or go alike."""
+    numbered, row = _numbered(docs)
+    return _kept(numbered, row, toxicity_channel.score_toxicity(numbered, table(spark, sf_dir, "labels"), carry=(row,)), "predicted = 0")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: that of the smallest doc_id."""
-    return _without(docs, ngram_join.near_duplicates(docs).where("not kept"))
+    """One row of each class of near duplicates: one of the smallest doc_id.
+
+    Of repeated rows one stays; null and wordless texts are classes of their own; rows
+    of a null doc_id are judged like others, and stay only where no named row is like them.
+    """
+    numbered, row = _numbered(docs)
+    return _kept(numbered, row, ngram_join.near_duplicates(numbered, carry=(row,)), "kept")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the kept documents, packed along the curve."""
+    """The pieces of the kept documents, packed along the curve. A null or empty text is its end id; repeated rows are packed each."""
     return curve_packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
 
 

@@ -1,5 +1,6 @@
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -41,6 +42,35 @@ def test_stages_one_by_one(spark):
 
 
 def test_one_of_each_group_stays(spark):
-    rows_ = [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "other words that stand quite alone"), (4, None)]
+    rows_ = [(None, "a b c d e f g"), (None, "nameless words of one row alone"), (5, "repeated rows of one id and text"), (5, "repeated rows of one id and text"), (1, "a b c d e f g"), (2, "a b c d e f g"), (3, "other words that stand quite alone"), (4, None)]
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows_], "doc_id long, text string, lang string, source string, n_chars long")
-    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()) == [1, 3, 4]
+    assert sorted(r.doc_id or 0 for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()) == [0, 1, 3, 4, 5]
+
+
+def test_stages_decide_by_row(spark):
+    """Rows that share an id, have none or repeat; columns whose names the operators use; empty tables."""
+    source = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    toxic = source.join(labels.where("toxic = 1"), "doc_id").select("text").first().text
+    junk = source.join(labels.where("quality = 0"), "doc_id").select("text").first().text
+    clean = source.join(labels.where("quality = 1 and toxic = 0"), "doc_id").select("text").first().text
+    odd = [(70_001, toxic), (70_001, clean), (None, toxic), (None, clean), (70_002, junk), (70_002, clean), (70_003, clean), (70_003, clean), (70_004, None), (70_005, ""), (70_006, "word " * 50_000)]
+    odd = spark.createDataFrame(odd, "doc_id long, text string").select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    docs = source.unionByName(odd).select("*", F.lit(1.5).alias("row"), F.lit("x").alias("score"), F.lit("y").alias("signature"))
+
+    def left(df, number, text):
+        return df.where(F.col("doc_id").eqNullSafe(F.lit(number)) & F.col("text").eqNullSafe(F.lit(text))).count()
+
+    mild = corpus_pipeline.toxicity(spark, docs, SF)
+    assert mild.columns == docs.columns
+    assert [left(mild, n, toxic) for n in (70_001, None)] == [0, 0] and [left(mild, n, clean) for n in (70_001, None, 70_002, 70_003)] == [1, 1, 1, 2]
+    assert [left(mild, 70_004, None), left(mild, 70_005, "")] == [1, 1]
+    good = corpus_pipeline.quality(spark, docs, SF)
+    assert good.columns == docs.columns and left(good, 70_002, junk) == 0 and left(good, 70_002, clean) == 1
+    single = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert single.columns == docs.columns
+    assert single.where(F.col("text") == clean).count() <= 1 and [left(single, 70_004, None), left(single, 70_005, "")] == [1, 1]
+    packed = corpus_pipeline.packing(spark, docs, SF)
+    assert packed.where("start = 0").count() == docs.count()
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0

@@ -191,6 +191,63 @@ def test_short_blocks_and_runs_over_blocks(spark):
     assert got[8] == got[9] == copy + "\nNotes"
 
 
+def test_shared_lengths_equal_brute_force():
+    rng = np.random.default_rng(3)
+    for trial in range(20):
+        rows = []
+        for page in range(8):
+            tokens = [f"t{x}" for x in rng.integers(0, 3, 25)]
+            host, data = f"h{page % 2}", html_main_text.token_keys(tokens)
+            rows += [(host, data[4 * i:4 * i + 24], page, page + (trial % 2 and page == 5)) for i in range(25)]
+        rows.sort(key=lambda r: (r[0], r[1], r[2]))
+        got = html_main_text.shared_lengths([r[0] for r in rows], [r[1] for r in rows], np.array([r[2] for r in rows]), np.array([r[3] for r in rows]))
+        for (host, key, first, last), length in zip(rows, got, strict=True):
+            others = [k for h, k, a, b in rows if h == host and (a, b) != (first, first)]
+            want = next((n for n in range(len(key) // 4, 0, -1) if any(k[:4 * n] == key[:4 * n] for k in others)), 0)
+            assert length == (want if first == last else len(key) // 4)
+
+
+def test_repeated_runs_equal_brute_force(spark):
+    """Pages without an article: what stays is what no other page of the host shares in a run of eight tokens."""
+    rng = np.random.default_rng(5)
+    shared = [[f"s{k}_{i}" for i in range(int(rng.integers(5, 30)))] for k in range(6)]
+    rows = []
+    for i in range(60):
+        blocks = []
+        for _ in range(int(rng.integers(1, 6))):
+            own = [f"p{i}_{x}" for x in rng.integers(0, 10**6, int(rng.integers(1, 12)))]
+            some = shared[rng.integers(len(shared))]
+            blocks.append(" ".join(rng.choice([0, 1]) and [*own, *some] or [*some, *own]))
+        rows.append((i, f"http://h{i % 3}/{i}", "".join(f"<p>{b}</p>" for b in blocks), blocks))
+    windows = {}
+    for i, url, _, blocks in rows:
+        tokens = " ".join(blocks).split()
+        for k in range(len(tokens) - 7):
+            windows.setdefault((i % 3, *tokens[k:k + 8]), set()).add(i)
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").repartition(5)
+    for window in (8, 16):
+        got = {r.page_id: r for r in html_main_text.extract(df, window=window).collect()}
+        for i, url, _, blocks in rows:
+            tokens = " ".join(blocks).split()
+            covered = np.zeros(len(tokens), bool)
+            for k in range(len(tokens) - 7):
+                if len(windows[(i % 3, *tokens[k:k + 8])]) > 1:
+                    covered[k:k + 8] = True
+            kept, at = [], 0
+            for b in blocks:
+                own = [t for t, c in zip(b.split(), covered[at:], strict=False) if not c]
+                at += len(b.split())
+                kept += [" ".join(own)] if own else []
+            assert got[i].text == "\n".join(kept) and got[i].site_tokens == covered.sum()
+
+
+def test_runs_outside_articles_are_counted(spark):
+    foot = "all rights of this site belong to its owners and to nobody else at all"
+    rows = [(i, f"http://h/{i}", f"<article><p>{foot} and the text of page {i}</p></article><footer>{foot} page{i}</footer>") for i in range(4)]
+    got = html_main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {(r.text, r.site_tokens) for r in got} == {(f"{foot} and the text of page {i}", 15) for i in range(4)}
+
+
 def test_pages_of_odd_rows(spark):
     rows = [(1, None, None), (2, "", ""), (3, "x", "no tags at all"), (4, "http://h/", "<p>cut <b"), (5, "http://h/", "<nav>only menu"), (6, "http://h/", "<article>" + "<p>long text</p>" * 20_000), (6, "http://h/", "<!-- open")]
     df = spark.createDataFrame([(*r, "c", 1) for r in rows], "page_id long, url string, html string, host string, run int")

@@ -38,6 +38,17 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_few(rows: DataFrame, facts: DataFrame, *keys: str, heavy: int = 1000, broadcast_rows: int = 50_000) -> DataFrame:
+    """``rows`` joined to ``facts`` by ``keys``; a fact says in n how many rows it meets.
+
+    Facts of many rows, ``broadcast_rows`` of them at most, are broadcast, so a key that a third of the rows has is not one task's.
+    """
+    facts = saved(facts)
+    many = max(heavy, -(-(facts.agg(F.sum("n")).first()[0] or 0) // broadcast_rows))
+    large, small = facts.where(F.col("n") >= many).drop("n"), facts.where(F.col("n") < many).drop("n")
+    return rows.join(F.broadcast(large), list(keys)).unionByName(rows.join(F.broadcast(large.select(*keys)), list(keys), "left_anti").join(small, list(keys)))
+
+
 def _with_least(pairs: DataFrame, key: str, value: str, heavy: int, rows: int) -> DataFrame:
     """``pairs``, of at most ``rows`` rows, with m, the least ``value`` of each ``key``.
 

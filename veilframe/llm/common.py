@@ -5,7 +5,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +42,17 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(texts: pa.Array, limit: int = 16_000_000) -> Iterator[tuple[int, int]]:
+    """(start, end) of rows whose texts have ``limit`` bytes at most, or of one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield start, end
+        start = end
+
+
 def with_few(rows: DataFrame, facts: DataFrame, *keys: str, heavy: int = 1000, broadcast_rows: int = 50_000) -> DataFrame:
     """``rows`` joined to ``facts`` by ``keys``; a fact says in n how many rows it meets.
 

@@ -21,12 +21,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import saved
+from veilframe.llm.common import saved, slices
 
 DIMS, BITS, TIE_BITS = 3, 12, 26
 MEMO_SIZE = 600_000
-#: Bytes of text that are encoded at once; a longer text is encoded alone.
-SLICE_BYTES = 16_000_000
 #: Signs that may follow a word as a token of their own; an apostrophe may begin an ending.
 SIGNS = string.punctuation.replace("'", "")
 #: Letters of old blocks, where all tables of Unicode agree, whose lower case is one letter, whatever stands beside it.
@@ -161,17 +159,6 @@ def mean_vectors(flat: np.ndarray, sizes: np.ndarray, vectors: np.ndarray) -> np
     return points
 
 
-def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """(start, end) of rows whose texts have ``limit`` bytes at most, or of one longer text."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
-    start = 0
-    while start < len(ends):
-        before = ends[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
-        yield start, end
-        start = end
-
-
 def hashed_vectors(n: int, seed: int = 5) -> np.ndarray:
     """A fixed random vector for each id."""
     return np.random.default_rng(seed).standard_normal((n, DIMS)).astype(np.float32)

@@ -12,59 +12,57 @@ links per text, never all pairs.
 
 from __future__ import annotations
 
-import zlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import components, saved
+from veilframe.llm.common import components, saved, slices, with_few
 
 TREES, DEPTH = 24, 8
-MEMO_SIZE = 400_000
-BLANKS = dict.fromkeys(map(ord, "\x09\x0a\x0b\x0c\x0d"), " ")
 _rng = np.random.default_rng(20)
 _A = _rng.integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) | np.uint64(1)
 _B = _rng.integers(0, 2**63, TREES * DEPTH, dtype=np.uint64)
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
-class _Words(dict):
-    def __missing__(self, w: str) -> int:
-        b = w.encode("utf-8", "surrogatepass")
-        out = self[w] = zlib.crc32(b) << 32 | zlib.crc32(b, 0x5BD1E995)
-        return out
-
-
-_words = _Words()
-
-
-def shingles(text: str | None, width: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the runs of ``width`` words; a shorter text is one run of all its words."""
-    words = [w for w in text.translate(BLANKS).split(" ") if w] if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(_words) > MEMO_SIZE:
-        _words.clear()
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    width = min(width, len(words))
+def _runs(words: np.ndarray, width: int) -> np.ndarray:
+    """Hash of the ``width`` words from each position on."""
     with np.errstate(over="ignore"):
-        out = np.full(len(words) - width + 1, np.uint64(width))
+        out = np.full(max(len(words) - width + 1, 0), np.uint64(width))
         for k in range(width):
-            out = (out ^ (out >> np.uint64(31))) * _M2 + h[k:len(words) - width + 1 + k] * _M1
+            out = (out ^ (out >> np.uint64(31))) * _M2 + words[k:k + len(out)] * _M1
         out = (out ^ (out >> np.uint64(29))) * _M3
-        out ^= out >> np.uint64(32)
-    return np.unique(out)
+    return out ^ (out >> np.uint64(32))
+
+
+def shingles(texts: pa.Array, width: int = 5) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the runs of ``width`` words of each text; a shorter text is one run of all its words."""
+    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    tokens = split.flatten()
+    is_word = pc.not_equal(tokens, "").to_numpy(zero_copy_only=False)
+    coded = tokens.dictionary_encode()
+    words = pd.util.hash_array(coded.dictionary.to_numpy(zero_copy_only=False), categorize=False)[coded.indices.to_numpy()][is_word]
+    ends = np.concatenate([[0], np.cumsum(is_word)])[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+    runs, out = _runs(words, width), []
+    for a, b in itertools.pairwise(ends):
+        out.append(np.unique(runs[a:b - width + 1] if b - a >= width else _runs(words[a:b], b - a) if b > a else runs[:0]))
+    return out
 
 
 def signature(hashes: np.ndarray) -> bytes:
     """TREES x DEPTH min-hashes, 16 bits of each."""
     least = np.full(TREES * DEPTH, np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):
-        for i in range(0, len(hashes), 1024):
-            np.minimum(least, (hashes[i:i + 1024, None] * _A + _B).min(axis=0), out=least)
+        for i in range(0, len(hashes), 512):
+            mixed = _A[:, None] * hashes[None, i:i + 512]
+            mixed += _B[:, None]
+            np.minimum(least, mixed.min(axis=1), out=least)
         least = (least ^ (least >> np.uint64(33))) * _M3
     return (least >> np.uint64(48)).astype("<u2").tobytes()
 
@@ -90,9 +88,9 @@ def _signatures(blobs: list[bytes]) -> np.ndarray:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        blobs = [signature(s) if len(s) else None for s in map(shingles, texts)]
-        chars = pa.array([len(t or "") for t in texts], pa.int64())
+        sets = (s for a, b in slices(batch.column(1)) for s in shingles(batch.column(1)[a:b]))
+        blobs = [signature(s) if len(s) else None for s in sets]
+        chars = pc.cast(pc.fill_null(pc.utf8_length(batch.column(1)), 0), pa.int64())
         yield pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(blobs, pa.binary()), chars], [*batch.schema.names, "signature", "chars"],
         )
@@ -110,20 +108,19 @@ def _triangle(at: np.ndarray, limit: int = 200_000) -> Iterator[tuple[np.ndarray
         start = stop
 
 
-def _pairs_of(cluster: np.ndarray, keys: np.ndarray, deeper: np.ndarray | None, tree: int = -1) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pairs_of(cluster: np.ndarray, trees: np.ndarray, keys: np.ndarray, deeper: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs i < j of one cluster whose longest common prefix ends at the depth of ``keys``, each once.
 
-    ``keys`` and ``deeper`` (n x TREES) name the trie nodes of this depth and the next. A pair
-    belongs to the first tree in which it meets; where ``tree`` is given only its pairs are returned.
+    ``keys`` and ``deeper`` (n x TREES) name the trie nodes of this depth and the next, and ``trees``
+    has a bit for each tree whose node belongs to the cluster. A pair belongs to the first tree in which it meets.
     """
-    for t in range(keys.shape[1]) if tree < 0 else (tree,):
-        order = np.lexsort((keys[:, t], cluster))
+    for t in range(keys.shape[1]):
+        own = np.flatnonzero(trees >> t & 1)
+        order = own[np.lexsort((keys[own, t], cluster[own]))]
         c, k = cluster[order], keys[order, t]
         edges = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (k[1:] != k[:-1]), True])
         for a, b in zip(edges[:-1][np.diff(edges) > 1], edges[1:][np.diff(edges) > 1], strict=True):
             at = np.sort(order[a:b])
-            if deeper is not None and (deeper[at, t] == deeper[at[0], t]).all():
-                continue  # this node doesn't branch
             for i, j in _triangle(at):
                 if deeper is not None:
                     apart = (deeper[i, t] != deeper[j, t]) & ~(deeper[i] == deeper[j]).any(axis=1)
@@ -286,42 +283,41 @@ def _verify(paths: DataFrame, known: DataFrame, depth: int, threshold: float, bl
     child = _prefix(depth + 1) if depth < DEPTH else F.col("node")
     rows = paths.select("node", "tree", _prefix(depth).alias("prefix"), child.alias("child"))
     branching = rows.groupBy("prefix").agg(F.min("child").alias("a"), F.max("child").alias("b"), F.min("node").alias("low")).where("a < b").select("prefix", "low")
-    met = saved(rows.select("node", "tree", "prefix").join(branching, "prefix"))
-    stars = met.where("node > low").select(F.col("low").alias("src"), F.col("node").alias("dst"))
-    clusters = components(stars).join(known.select("node", "chars"), "node").select("node", "chars", F.col("component").alias("cluster"))
-    clusters = saved(clusters)
+    met = rows.select("node", "tree", "prefix").join(branching, "prefix")
+    bit = F.expr("bit_or(shiftleft(1, tree))").alias("trees")
+    # a trie node's texts go to its least text's cluster: those of near copies are mostly the same in all trees
+    clusters = saved(met.groupBy(F.col("low").alias("cluster"), "node").agg(bit).join(known.select("node", "chars"), "node"))
 
     def blocks() -> Column:
         return F.greatest(F.ceil(F.count("*") / block_rows), F.ceil(F.sum("chars") / block_chars)).cast("int").alias("blocks")
 
-    sizes = saved(clusters.groupBy("cluster").agg(blocks()))
+    sizes = saved(clusters.groupBy("cluster").agg(blocks(), F.count("*").alias("n")))
     # a small cluster has a bin; of a large one each pair of its blocks is a group; one of more blocks than there
     # are trees is taken apart by trie nodes, so that none of its texts is sent to all of them
-    parts = clusters.join(sizes.where(F.col("blocks") <= spread), "cluster").select("node", "cluster", F.lit(-1).alias("tree"), "chars", "blocks")
-    huge = sizes.where(F.col("blocks") > spread).select("cluster")
+    parts = with_few(clusters, sizes.where(F.col("blocks") <= spread), "cluster")
+    huge = sizes.where(F.col("blocks") > spread).select(F.col("cluster").alias("low"))
     if not huge.isEmpty():
-        split = met.join(clusters.join(huge, "cluster", "left_semi").select("node", "chars"), "node").select("node", F.col("prefix").alias("cluster"), "tree", "chars")
-        parts = parts.unionByName(split.join(split.groupBy("cluster").agg(blocks()), "cluster").select("node", "cluster", "tree", "chars", "blocks"))
+        split = met.join(huge, "low", "left_semi").select(F.col("prefix").alias("cluster"), "node", F.expr("shiftleft(1, tree)").alias("trees")).join(known.select("node", "chars"), "node")
+        parts = parts.unionByName(split.join(split.groupBy("cluster").agg(blocks()), "cluster"))
     parts = parts.withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
-    small = parts.where("blocks = 1 and tree < 0").agg(F.count("*"), F.coalesce(F.sum("chars"), F.lit(0))).first()
+    small = parts.where("blocks = 1").agg(F.count("*"), F.coalesce(F.sum("chars"), F.lit(0))).first()
     bins = max(1, -(-small[0] // block_rows), -(-small[1] // block_chars))
-    is_small = (F.col("blocks") == 1) & (F.col("tree") < 0)
-    pair = F.when(is_small, F.array(F.struct(F.lit(-1).alias("i"), F.pmod(F.xxhash64("cluster"), F.lit(bins)).cast("int").alias("j")))).otherwise(
+    pair = F.when(F.col("blocks") == 1, F.array(F.struct(F.lit(-1).alias("i"), F.pmod(F.xxhash64("cluster"), F.lit(bins)).cast("int").alias("j")))).otherwise(
         F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(F.least(b, F.col("block")).alias("i"), F.greatest(b, F.col("block")).alias("j")))
     )
     grouped = parts.join(known.drop("chars"), "node").withColumn("pair", F.explode(pair)).select(
-        F.when(~is_small, F.col("cluster")).alias("large"), F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "tree", "node", "cluster", "block", "copies", "signature", "text",
+        F.when(F.col("blocks") > 1, F.col("cluster")).alias("large"), F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "node", "cluster", "trees", "block", "copies", "signature", "text",
     )
 
     def verify(group: pa.Table) -> pa.Table:
-        sets = [shingles(t) for t in group["text"].to_pylist()]
-        node, cluster, block, copies = (group[c].to_numpy() for c in ("node", "cluster", "block", "copies"))
+        sets = shingles(group["text"].combine_chunks())
+        node, cluster, trees, block, copies = (group[c].to_numpy() for c in ("node", "cluster", "trees", "block", "copies"))
         signatures = _signatures(group["signature"].to_pylist())
         keys, deeper = _prefix_keys(signatures, depth), _prefix_keys(signatures, depth + 1) if depth < DEPTH else None
         sizes = np.array([len(s) for s in sets])
         is_across = group["i"][0].as_py() >= 0 and group["i"][0] != group["j"][0]  # pairs within a block belong to the group (b, b)
         n, found, similar = np.zeros(len(node), np.int64), [], np.zeros(1001, np.int64)
-        for i, j in _batched(_pairs_of(cluster, keys, deeper, group["tree"][0].as_py())):
+        for i, j in _batched(_pairs_of(cluster, trees, keys, deeper)):
             close = np.minimum(sizes[i], sizes[j]) >= threshold * np.maximum(sizes[i], sizes[j]) - 1e-9
             if is_across:
                 close &= block[i] != block[j]
@@ -344,4 +340,4 @@ def _verify(paths: DataFrame, known: DataFrame, depth: int, threshold: float, bl
             "n": pa.array(np.concatenate([n[some], np.zeros(len(child), np.int64), similar[at]])),
         })
 
-    return saved(grouped.groupBy("large", "i", "j", "tree").applyInArrow(verify, "node long, other long, n long"))
+    return saved(grouped.groupBy("large", "i", "j").applyInArrow(verify, "node long, other long, n long"))

@@ -215,6 +215,34 @@ def test_sources(spark, tmp_path):
     assert orders.where(F.length("card_info") == 16).where("luhn_check(card_info)").count() == 50
 
 
+def test_addresses_and_networks_of_both_kinds(spark):
+    import ipaddress
+
+    good = ["10.0.0.1", "255.255.255.255", "0.0.0.0", "::", "::1", "1::", "2001:DB8::7", "2001:db8:0:1:2:3:4:5", "::ffff:10.1.2.3", "fe80::1:2:3.4.5.6", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8"]
+    bad = ["256.0.0.1", "", "1.2.3", "1:2:3:4:5:6:7:8:9", "1::2::3", "1:2:3:4:5:6:7", "12345::", "g::1", ":::", "1:2:3:4:5:6:7:8::", ":1::2", "::1.2.3.999", None]
+    df = spark.createDataFrame([(x,) for x in good + bad], "ip string")
+    got = {r.ip: r.bits for r in df.withColumn("bits", traffic.address_bits(F.col("ip"))).collect()}
+    for x in good:
+        n = ipaddress.ip_address(x)
+        assert got[x] == f"{n.version}:{int(n):0{n.max_prefixlen}b}", x
+    assert all(got[x] is None for x in bad)
+    cidrs = ["10.0.0.0/8", "0.0.0.0/0", "2001:db8::/32", "2001:db8::/64", "::/0", "10.0.0.1/32"]
+    found = {r.ip: r.network for r in traffic.in_networks(df.repartition(5), "ip", traffic.networks(spark, cidrs)).collect()}
+    for x in good:
+        inside = [ipaddress.ip_network(c) for c in cidrs if ipaddress.ip_address(x) in ipaddress.ip_network(c)]
+        assert found[x] == str(max(inside, key=lambda n: n.prefixlen)), x
+    assert all(found[x] is None for x in bad)
+    assert traffic.in_networks(df, "ip", traffic.networks(spark, cidrs).limit(0)).where("network is null").count() == len(good + bad)
+
+
+def test_routes_by_shuffled_rules(spark):
+    rules = spark.createDataFrame([(2, "GET /a", "a"), (1, "GET /a/b", "ab"), (3, "GET /a/b", "late"), (0, "POST /", "write")], "rule_no int, prefix string, category string")
+    table = rules.select("prefix", F.col("rule_no").alias("rank"), F.col("category").alias("value"))
+    df = spark.createDataFrame([("GET /a/b/c",), ("GET /a",), ("POST /x",), ("GET /",), (None,)], "p string")
+    for limit in (100, 0):
+        assert {r.p: r.value for r in traffic.by_prefix(df, F.col("p"), table, limit).collect()} == {"GET /a/b/c": "ab", "GET /a": "a", "POST /x": "write", "GET /": None, None: None}
+
+
 def test_ip_numbers(spark):
     df = spark.createDataFrame([("10.0.0.1",), ("256.0.0.1",), ("::1",), (None,), ("192.168.300.1",)], "ip string")
     assert [r[0] for r in df.select(traffic.ip_number(F.col("ip"))).collect()] == [167772161, None, None, None, None]

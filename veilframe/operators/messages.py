@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from veilframe.functions.ids import SCHEMA_VERSION, event_id, idempotency_key, iso_z
@@ -94,17 +93,23 @@ def problems(m: Column, raw: Column | None = None) -> Column:
 def dedupe(messages: DataFrame, consumer: str | None = None, order: tuple[str, ...] = ("offset",)) -> DataFrame:
     """Each message with its decision: drop (event seen), replay (unit seen under another event) or first.
 
-    ``messages`` (event_id, idempotency_key, the columns of ``order`` and, unless one is
-    named, consumer). A unit's history is in order of arrival.
+    ``messages`` (event_id, idempotency_key, the columns of ``order``, which tell messages
+    apart, and, unless one is named, consumer). A unit's history is in order of arrival. First
+    arrivals come from aggregates, so a unit that is sent very often is not one task's.
     """
     who = ["consumer"] if consumer is None else []
-    by_event = W.partitionBy(*who, "event_id").orderBy(*order)
-    by_unit = W.partitionBy(*who, "idempotency_key").orderBy(*order)
-    seen = messages.withColumn("nth", F.row_number().over(by_event))
-    earlier = F.sum(F.when(F.col("nth") == 1, 1).otherwise(0)).over(by_unit.rowsBetween(W.unboundedPreceding, -1))
-    return seen.withColumn("earlier", F.coalesce(earlier, F.lit(0))).withColumn(
-        "decision", F.when(F.col("nth") > 1, "drop").when(F.col("earlier") > 0, "replay").otherwise("first")
-    ).drop("nth", "earlier")
+    place = F.struct(*order)
+    events = messages.groupBy(*who, "event_id").agg(F.min(F.struct(place.alias("at"), "idempotency_key")).alias("e"))
+    units = events.groupBy(*who, F.col("e.idempotency_key").alias("idempotency_key")).agg(F.min("e.at").alias("unit_at"))
+
+    def joined(left: DataFrame, right: DataFrame, keys: list[str], keep: str) -> DataFrame:
+        right = right.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col(keep).alias(f"__{keep}"))
+        on = [left[k].eqNullSafe(right[f"__{k}"]) for k in keys]
+        return left.join(right, on).drop(*(f"__{k}" for k in keys))
+
+    seen = joined(messages, events.withColumn("event_at", F.col("e.at")), [*who, "event_id"], "event_at")
+    seen = joined(seen, units, [*who, "idempotency_key"], "unit_at")
+    return seen.withColumn("decision", F.when(place > F.col("__event_at"), "drop").when(place > F.col("__unit_at"), "replay").otherwise("first")).drop("__event_at", "__unit_at")
 
 
 def latest_by_slot(verdicts: DataFrame, by: str = "dataset", order: tuple[str, ...] = ("run_slot", "offset")) -> DataFrame:

@@ -39,17 +39,28 @@ class Profile:
         return spark.createDataFrame(rows, "category string, per_client long, total long")
 
 
-def route(requests: DataFrame, rules: DataFrame, default: str = "default") -> DataFrame:
-    """Each request with the category of its first matching rule; ``rules`` (rule_no, prefix, category) of any number.
+def by_prefix(rows: DataFrame, probe: Column, table: DataFrame, broadcast_rows: int = 100_000) -> DataFrame:
+    """``rows`` with value: that of the least rank among the entries of ``table`` (prefix, rank, value) that ``probe`` begins with; null if none.
 
-    Rules are joined by every prefix length in use, so that the join is on equality.
+    One join on equality for each length in use, of which there are few; no row is numbered and none leaves its
+    task where the table has at most ``broadcast_rows`` prefixes. A larger one is left to Spark's own choice of join.
     """
-    probe = F.concat_ws(" ", F.upper("method"), F.col("path"))
-    lengths = [r[0] for r in rules.select(F.length("prefix")).distinct().collect()]  # as many as there are lengths
-    keyed = requests.withColumn("__row", F.monotonically_increasing_id()).withColumn("__probe", probe)
-    parts = keyed.select("__row", F.explode(F.array(*(F.left("__probe", F.lit(n)) for n in lengths))).alias("prefix")).distinct()
-    best = parts.join(rules, "prefix").groupBy("__row").agg(F.min_by("category", "rule_no").alias("category"))
-    return keyed.join(best, "__row", "left").withColumn("category", F.coalesce("category", F.lit(default))).drop("__row", "__probe")
+    best = table.groupBy("prefix").agg(F.min(F.struct("rank", "value")).alias("hit")).withColumn("size", F.length("prefix"))
+    sizes = {r["size"]: r["n"] for r in best.groupBy("size").agg(F.count("*").alias("n")).collect()}  # a row for each length
+    small = sum(sizes.values()) <= broadcast_rows
+    own, out = rows.columns, rows.withColumn("__probe", probe)
+    for n in sorted(sizes):
+        part = best.where(F.col("size") == n).select(F.col("prefix").alias(f"__p{n}"), F.col("hit").alias(f"__h{n}"))
+        out = out.join(F.broadcast(part) if small else part, F.left("__probe", F.lit(n)) == F.col(f"__p{n}"), "left")
+    hits = F.array_compact(F.array(*(F.col(f"__h{n}") for n in sizes))) if sizes else F.lit(None)
+    return out.select(*own, (F.array_min(hits)["value"] if sizes else hits.cast("string")).alias("value"))
+
+
+def route(requests: DataFrame, rules: DataFrame, default: str = "default") -> DataFrame:
+    """Each request with the category of its first matching rule; ``rules`` (rule_no, prefix, category) of any number."""
+    table = rules.select("prefix", F.col("rule_no").alias("rank"), F.col("category").alias("value"))
+    found = by_prefix(requests, F.concat_ws(" ", F.upper("method"), F.col("path")), table)
+    return found.withColumn("category", F.coalesce("value", F.lit(default))).drop("value")
 
 
 def ip_number(ip: Column) -> Column:
@@ -60,33 +71,47 @@ def ip_number(ip: Column) -> Column:
     return F.when(ip.rlike(rf"^{octet}(\.{octet}){{3}}$"), value)
 
 
+def address_bits(ip: Column) -> Column:
+    """The bits of an address as text, after 4: or 6: for its kind; null for what is no address.
+
+    An IPv6 address may have one :: and may end in an IPv4 address.
+    """
+    four = F.concat(F.lit("4:"), F.lpad(F.bin(ip_number(ip)), 32, "0"))
+    tail = ip_number(F.substring_index(ip, ":", -1))
+    low = F.concat_ws(":", F.lower(F.hex(F.shiftright(tail, 16))), F.lower(F.hex(tail.bitwiseAND(0xFFFF))))
+    text = F.lower(F.when(tail.isNotNull(), F.concat(F.regexp_extract(ip, "^(.*:)[^:]*$", 1), low)).otherwise(ip))
+    halves = F.split(text, "::")
+    groups = [F.filter(F.split(F.coalesce(F.get(halves, F.lit(i)), F.lit("")), ":"), lambda g: g != "") for i in range(2)]
+    missing = F.lit(8) - F.size(groups[0]) - F.size(groups[1])
+    whole = F.concat(groups[0], F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), groups[1])
+    group = "[0-9a-f]{1,4}"
+    plain = text.rlike(rf"^{group}(:{group}){{7}}$")
+    short = text.rlike(rf"^({group}(:{group})*)?::({group}(:{group})*)?$") & (missing >= 1)
+    bits = F.array_join(F.transform(whole, lambda g: F.lpad(F.conv(g, 16, 2), 16, "0")), "")
+    return F.coalesce(four, F.when(plain | short, F.concat(F.lit("6:"), bits)))
+
+
+def _network_bits(cidr: str) -> tuple[str, int, str]:
+    n = ipaddress.ip_network(cidr, strict=False)
+    return str(n), n.prefixlen, f"{n.version}:" + f"{int(n.network_address):0{n.max_prefixlen}b}"[:n.prefixlen]
+
+
 def networks(spark: SparkSession, cidrs: list[str]) -> DataFrame:
-    """network, bits, base of IPv4 networks in CIDR form."""
-    found = [ipaddress.ip_network(c, strict=False) for c in cidrs]
-    rows = [(str(n), n.prefixlen, int(n.network_address)) for n in found if n.version == 4]
-    return spark.createDataFrame(rows, "network string, bits int, base long")
+    """network, bits, prefix (the network's bits, as in :func:`address_bits`) of IPv4 and IPv6 networks in CIDR form."""
+    return spark.createDataFrame([_network_bits(c) for c in cidrs], "network string, bits int, prefix string")
 
 
 def in_networks(df: DataFrame, ip: str, nets: DataFrame) -> DataFrame:
-    """The rows with the narrowest network that holds their address, or null; one join on (bits, base), so no range join.
-
-    An IPv4 address has one base per prefix length in use, at most 33.
-    """
-    bits = [r[0] for r in nets.select("bits").distinct().collect()]
-    number = ip_number(F.col(ip))
-    keyed = df.withColumn("__row", F.monotonically_increasing_id()).withColumn("__ip", number)
-    bases = F.array(*(F.struct(F.lit(b).alias("bits"), (F.col("__ip") - F.pmod(F.col("__ip"), F.lit(1 << (32 - b)))).alias("base")) for b in bits))
-    hits = keyed.where(F.col("__ip").isNotNull()).select("__row", F.inline(bases)).join(nets, ["bits", "base"]).groupBy("__row").agg(F.max_by("network", "bits").alias("network"))
-    return keyed.join(hits, "__row", "left").drop("__row", "__ip")
+    """The rows with the narrowest network that holds their address, or null; joins on equality of leading bits, so no range join."""
+    table = nets.select("prefix", (-F.col("bits")).alias("rank"), F.col("network").alias("value"))
+    return by_prefix(df, address_bits(F.col(ip)), table).withColumnRenamed("value", "network")
 
 
 def is_listed(ip: Column, cidrs: list[str]) -> Column:
-    """Whether an address is in one of a short list of IPv4 networks; false for what is no address."""
-    n, out = ip_number(ip), F.lit(False)
+    """Whether an address is in one of a short list of networks; false for what is no address."""
+    bits, out = address_bits(ip), F.lit(False)
     for c in cidrs:
-        net = ipaddress.ip_network(c, strict=False)
-        if net.version == 4:
-            out |= n.between(int(net.network_address), int(net.broadcast_address))
+        out |= bits.startswith(_network_bits(c)[2])
     return F.coalesce(out, F.lit(False))
 
 
@@ -100,24 +125,20 @@ def sliding_rates(requests: DataFrame, seconds: int = 60) -> DataFrame:
 
     ``requests`` (client, category, ts). The window's far end is inclusive.
     """
-    at = F.unix_micros(F.col("ts").cast("timestamp"))
-    trailing = lambda *by: W.partitionBy(*by).orderBy(at).rangeBetween(-seconds * 1_000_000, 0)
-    hits = requests.withColumn("client_hits", F.count("*").over(trailing("category", "client")))
-    return _category_hits(hits, seconds)
+    return _trailing(_trailing(requests, ("category", "client"), "client_hits", seconds), ("category",), "category_hits", seconds)
 
 
-def _category_hits(requests: DataFrame, seconds: int) -> DataFrame:
-    """Adds category_hits. A category may hold most rows, so it is cut into slots of a window's length:
-    a row's window is the part of its own slot up to it and the part of the slot before from its far end on."""
+def _trailing(requests: DataFrame, by: tuple[str, ...], name: str, seconds: int) -> DataFrame:
+    """Adds the number of rows of the same keys in the trailing window. One key may hold most rows, so its rows are cut
+    into slots of a window's length: a row's window is its own slot up to it and the slot before from its far end on."""
     width = seconds * 1_000_000
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     rows = requests.withColumn("__at", at).withColumn("__slot", F.floor(at / width))
     # every row is also a mark in the next slot, where it counts while it is no older than the window
-    marks = rows.select("category", (F.col("__slot") + 1).alias("__slot"), "__at", F.lit(False).alias("__own"))
-    own = rows.withColumn("__own", F.lit(True))
-    both = own.unionByName(marks, allowMissingColumns=True)
-    window = W.partitionBy("category", "__slot").orderBy("__at").rangeBetween(-width, 0)
-    return both.withColumn("category_hits", F.count("*").over(window)).where("__own").drop("__own", "__slot", "__at")
+    marks = rows.select(*by, (F.col("__slot") + 1).alias("__slot"), "__at", F.lit(False).alias("__own"))
+    both = rows.withColumn("__own", F.lit(True)).unionByName(marks, allowMissingColumns=True)
+    window = W.partitionBy(*by, "__slot").orderBy("__at").rangeBetween(-width, 0)
+    return both.withColumn(name, F.count("*").over(window)).where("__own").drop("__own", "__slot", "__at")
 
 
 def breaches(rates: DataFrame, limits: DataFrame) -> DataFrame:

@@ -209,11 +209,15 @@ def one_line_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _IP = "CAST(event_id * 7919 % 224 AS VARCHAR) || '.' || (event_id * 31 % 256) || '.' || (event_id * 17 % 256) || '.' || (user_id % 256)"
 
 
-@query(f"""WITH e AS (SELECT event_id, {_IP} AS ip, CAST(event_id * 7919 % 224 AS BIGINT) * 16777216 + (event_id * 31 % 256) * 65536 + (event_id * 17 % 256) * 256 + user_id % 256 AS v FROM events),
+_V = "CAST(event_id * 7919 % 224 AS BIGINT) * 16777216 + (event_id * 31 % 256) * 65536 + (event_id * 17 % 256) * 256 + user_id % 256"
+
+
+@query(f"""WITH e AS (SELECT event_id, CASE WHEN event_id % 4 = 0 THEN '2001:db8:' || format('{{:x}}', event_id % 3) || '::' || format('{{:x}}', event_id) ELSE {_IP} END AS ip, event_id % 4 = 0 AS six, event_id % 3 AS third, {_V} AS v FROM events),
 n(network, bits, lo, hi) AS (VALUES ('10.0.0.0/8', 8, 167772160, 184549375), ('10.64.0.0/10', 10, 171966464, 176160767), ('172.16.0.0/12', 12, 2886729728, 2887778303), ('192.168.0.0/16', 16, 3232235520, 3232301055), ('0.0.0.0/2', 2, 0, 1073741823))
-SELECT event_id, ip, arg_max(network, bits) AS network FROM e LEFT JOIN n ON v BETWEEN lo AND hi GROUP BY event_id, ip""")
+SELECT event_id, ip, CASE WHEN six AND third = 1 THEN '2001:db8:1::/48' WHEN six THEN '2001:db8::/32' ELSE arg_max(network, bits) END AS network FROM e LEFT JOIN n ON NOT six AND v BETWEEN lo AND hi GROUP BY event_id, ip, six, third""")
 def cidr_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = lambda e: F.expr(e).cast("string")
-    ip = F.concat_ws(".", part("event_id * 7919 % 224"), part("event_id * 31 % 256"), part("event_id * 17 % 256"), part("user_id % 256"))
-    nets = traffic.networks(spark, ["10.0.0.0/8", "10.64.0.0/10", "172.16.0.0/12", "192.168.0.0/16", "0.0.0.0/2"])
-    return traffic.in_networks(table(spark, sf_dir, "events").select("event_id", ip.alias("ip")), "ip", nets)
+    four = F.concat_ws(".", part("event_id * 7919 % 224"), part("event_id * 31 % 256"), part("event_id * 17 % 256"), part("user_id % 256"))
+    six = F.expr("concat('2001:db8:', lower(hex(event_id % 3)), '::', lower(hex(event_id)))")
+    nets = traffic.networks(spark, ["10.0.0.0/8", "10.64.0.0/10", "172.16.0.0/12", "192.168.0.0/16", "0.0.0.0/2", "2001:db8::/32", "2001:db8:1::/48"])
+    return traffic.in_networks(table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 4 == 0, six).otherwise(four).alias("ip")), "ip", nets)

@@ -66,12 +66,37 @@ def test_absence_alarms(spark, tmp_path):
 
 
 def test_client_blocks(spark, tmp_path):
-    rows = spark.createDataFrame([("x", i) for i in (0, 10, 20, 30, 331, 332)] + [("y", 0)], "client string, at long").select("client", F.timestamp_seconds("at").alias("ts"))
+    rows = spark.createDataFrame([("x", i) for i in (0, 10, 20, 30, 331, 332)] + [("y", 0)], "client string, at long").select("client", F.timestamp_seconds(F.col("at") + 1_000_000).alias("ts"))
     got = collect(consumers.client_blocks(stream(spark, rows, str(tmp_path / "in")), 2).writeStream.outputMode("append"), spark, tmp_path)
     x = [r.allowed for r in sorted((r for r in got if r.client == "x"), key=lambda r: r.ts)]
     assert x == [True, True, False, False, True, True]
 
 
+def test_listed_clients_are_not_blocked(spark, tmp_path):
+    rows = spark.createDataFrame([(c, i) for c in ("10.1.2.3", "2001:db8::7", "9.9.9.9") for i in range(4)], "client string, at long").select("client", F.timestamp_seconds(F.col("at") + 1_000_000).alias("ts"))
+    got = collect(consumers.client_blocks(stream(spark, rows, str(tmp_path / "in")), 2, allowlist=("10.0.0.0/8", "2001:db8::/32")).writeStream.outputMode("append"), spark, tmp_path)
+    assert len(got) == 12 and {r.client for r in got if not r.allowed} == {"9.9.9.9"} and {r.reason for r in got if r.client[0] != "9"} == {"on the allowlist"}
+
+
+def test_total_breaches(spark, tmp_path):
+    rows = spark.createDataFrame([("read", i % 20) for i in range(30)] + [("write", i) for i in range(5)] + [("read", 500)], "category string, at long").withColumn("ts", F.timestamp_seconds("at"))
+    limits = spark.createDataFrame([("read", 25), ("write", 25)], "category string, total long")
+    got = collect(consumers.total_breaches(stream(spark, rows, str(tmp_path / "in")), limits, "60 seconds", "60 seconds").writeStream.outputMode("append"), spark, tmp_path)
+    assert [(r.category, r.hits) for r in got] == [("read", 30)]
+
+
+def test_datasets_never_seen_alarm(spark, tmp_path):
+    path = str(tmp_path / "in")
+    for at in ("2026-01-01 00:00:00", "2026-01-01 08:00:00", "2026-01-01 16:00:00"):
+        spark.createDataFrame([("b", at)], "dataset string, at string").select("dataset", F.to_timestamp("at").alias("run_slot")).coalesce(1).write.mode("append").parquet(path)
+    named = str(tmp_path / "roster")
+    spark.createDataFrame([("b",), ("gone",)], "dataset string").withColumn("started", F.to_timestamp(F.lit("2026-01-01 00:00:00"))).coalesce(1).write.parquet(named)
+    s = spark.readStream.schema("dataset string, run_slot timestamp").option("maxFilesPerTrigger", 1).parquet(path)
+    roster = spark.readStream.schema("dataset string, started timestamp").parquet(named)
+    got = {(r.dataset, r.kind) for r in collect(consumers.absences(s, roster=roster).writeStream.outputMode("append"), spark, tmp_path)}
+    assert ("gone", "never_seen") in got and ("b", "never_seen") not in got
+
+
 def test_first_sights_and_ledger(spark, tmp_path):
     rows = spark.createDataFrame([("c", "e1", "u1", 1), ("c", "e1", "u1", 2), ("c", "e2", "u1", 3)], "consumer string, event_id string, idempotency_key string, at long").withColumn("received_at", F.timestamp_seconds("at"))
     s = stream(spark, rows, str(tmp_path / "in"))

@@ -57,13 +57,13 @@ def window_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.in_window(rows, "o_orderdate", start, end).orderBy("o_orderdate", "o_orderkey").limit(100)
 
 
-@query("""SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '1994-01-01' AND o_orderdate < TIMESTAMP '1995-01-01' ORDER BY o_orderdate, o_orderkey LIMIT 50""")
+@query("""SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1997-01-01' ORDER BY o_orderdate, o_orderkey LIMIT 50""")
 def sql_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     from datetime import datetime
 
     table(spark, sf_dir, "orders").createOrReplaceTempView("orders_source")
     sql = "SELECT o_orderkey, o_orderstatus FROM orders_source WHERE o_orderdate >= :window_start AND o_orderdate < :window_end ORDER BY o_orderdate, o_orderkey LIMIT :row_limit"
-    return tables.SqlSource(sql, max_rows=50).frame(spark, datetime(1994, 1, 1), datetime(1995, 1, 1))
+    return tables.SqlSource(sql, max_rows=50).frame(spark, datetime(1996, 1, 1), datetime(1997, 1, 1))
 
 
 @query("""SELECT p_type AS item, n_name, count(*) AS n_lines, round(sum(l_extendedprice), 1) AS amount FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
@@ -172,10 +172,10 @@ def last_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.last_per_key(rows, ["l_orderkey", "l_linenumber"], [F.col("l_shipdate"), F.col("l_extendedprice")])
 
 
-@query("SELECT user_id, min(event_id) AS event_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_id % 7 = 0) GROUP BY 1")
+@query("SELECT user_id, min(event_id) AS event_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_id % 7 = 0 AND user_id % 3 <> 0) GROUP BY 1")
 def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("user_id", "event_id")
-    return warehouse.insert_if_absent(e.where("event_id % 7 = 0"), e, ["user_id"])
+    return warehouse.insert_if_absent(e.where("event_id % 7 = 0 and user_id % 3 <> 0"), e, ["user_id"])
 
 
 @query("""SELECT o_orderkey, o_orderstatus, o_totalprice + CASE WHEN o_orderstatus = 'F' THEN 5 ELSE 0 END AS o_totalprice FROM orders WHERE o_orderstatus <> 'F' OR o_orderkey % 2 = 1""")
@@ -397,7 +397,7 @@ SELECT s.idempotency_key, s.event_id, s."offset", CASE WHEN nth > 1 THEN 'drop'
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from veilframe.streaming import consumers
 
-    rows = _replays(spark, sf_dir).select("event_id", "idempotency_key", "offset")
+    rows = _replays(spark, sf_dir).select("event_id", "idempotency_key", "offset", F.timestamp_seconds(F.col("offset") + 1_000_000).alias("received_at"))
     return _stream(spark, sf_dir, rows, consumers.decisions, "append")
 
 
@@ -427,7 +427,14 @@ def stream_tap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/log").select(F.col("offset").alias("event_id"), "valid")
 
 
-@query("""SELECT CAST(event_id * 16777619 % 9000 + 1000 AS BIGINT) AS bike_id FROM events WHERE false""", "synthetic_source_is_stable")
+@query("""SELECT CAST(n AS BIGINT) AS parts, 1000 AS trips, 5467961 AS bikes, 2538881 AS stations, 18581 AS minutes, 'T001090743992' AS first_trip, 'T998279927158' AS last_trip, 4 AS kinds FROM (VALUES (1), (7)) AS t(n)""", "synthetic_source_is_stable")
 def _synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a, b = (tables.synthetic_trips(spark, 1000, "2026-01-01").repartition(n) for n in (1, 7))
-    return a.exceptAll(b).unionByName(b.exceptAll(a)).select("bike_id")
+    """What the source gives for one seed, on one task and on seven, against fixed sums."""
+    def sums(parts: int) -> DataFrame:
+        trips = tables.synthetic_trips(spark, 1000, "2026-01-01").repartition(parts)
+        return trips.agg(
+            F.lit(parts).cast("long").alias("parts"), F.count("*").alias("trips"), F.sum("bike_id").alias("bikes"), F.sum("start_station_id").alias("stations"), F.sum("duration_minutes").alias("minutes"),
+            F.min("trip_id").alias("first_trip"), F.max("trip_id").alias("last_trip"), F.count_distinct("subscriber_type").alias("kinds"),
+        )
+
+    return sums(1).unionByName(sums(7))

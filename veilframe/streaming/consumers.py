@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from veilframe.operators.messages import decode, problems, wakes
+from veilframe.operators.traffic import is_listed
 from veilframe.operators.warehouse import VersionedTable, insert_if_absent
 
 RAW = "topic string, partition int, offset long, value string, received_at timestamp"
@@ -38,14 +40,22 @@ def tapped(messages: DataFrame) -> DataFrame:
 
 
 def tap(messages: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
-    """Append each message to the log once, known by topic, partition and offset, however often a batch is tried."""
-    spark = messages.sparkSession
+    """Append each message to the log once, known by topic, partition and offset, however often a batch is tried.
+
+    The log is in folders by topic and partition, and a batch is held only against the part
+    of the log in its own folders and ranges of offsets.
+    """
+    spark, key = messages.sparkSession, ["topic", "partition", "offset"]
 
     def append(batch: DataFrame, _: int) -> None:
-        fresh = batch.dropDuplicates(["topic", "partition", "offset"])
+        fresh = batch.dropDuplicates(key)
         if _exists(spark, log):
-            fresh = fresh.join(spark.read.parquet(log).select("topic", "partition", "offset"), ["topic", "partition", "offset"], "left_anti")
-        fresh.write.mode("append").parquet(log)
+            ranges = fresh.groupBy("topic", "partition").agg(F.min("offset").alias("low"), F.max("offset").alias("high")).collect()  # a row for each partition of a topic
+            known = F.lit(False)
+            for r in ranges:
+                known |= (F.col("topic") == r.topic) & (F.col("partition") == r.partition) & F.col("offset").between(r.low, r.high)
+            fresh = fresh.join(spark.read.schema(batch.schema).parquet(log).where(known).select(*key), key, "left_anti")
+        fresh.write.mode("append").partitionBy("topic", "partition").parquet(log)
 
     return tapped(messages).writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(append).start()
 
@@ -60,22 +70,32 @@ def first_sights(messages: DataFrame, delay: str = "1 day") -> DataFrame:
     return messages.withWatermark("received_at", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def decisions(messages: DataFrame) -> DataFrame:
-    """event_id, idempotency_key, offset, decision of every message: first, replay or drop; state is kept for each unit."""
+def decisions(messages: DataFrame, keep: str = "7 days") -> DataFrame:
+    """event_id, idempotency_key, offset, decision of every message: first, replay or drop.
+
+    ``messages`` (event_id, idempotency_key, offset, received_at). State is a unit's events; it goes
+    when, by the time of receipt, nothing has come for the unit for as long as ``keep``.
+    """
+    kept_ms = int(pd.Timedelta(keep).total_seconds() * 1000)
 
     def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen = set(state.get[0]) if state.exists else set()
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen, last = (set(state.get[0]), state.get[1]) if state.exists else (set(), 0)
         for pdf in batches:
             pdf = pdf.sort_values("offset")
+            last = max(last, int(pdf["received_at"].max().timestamp() * 1000))
             out = []
             for event in pdf["event_id"]:
                 out.append("drop" if event in seen else "replay" if seen else "first")
                 seen.add(event)
             yield pd.DataFrame({"idempotency_key": key[0], "event_id": pdf["event_id"], "offset": pdf["offset"], "decision": out})
-        state.update((sorted(seen),))
+        state.update((sorted(seen), last))
+        state.setTimeoutTimestamp(max(last + kept_ms, state.getCurrentWatermarkMs() + 1))
 
-    return messages.groupBy("idempotency_key").applyInPandasWithState(
-        decide, "idempotency_key string, event_id string, offset long, decision string", "events array<string>", "append", GroupStateTimeout.NoTimeout,
+    return messages.withWatermark("received_at", keep).groupBy("idempotency_key").applyInPandasWithState(
+        decide, "idempotency_key string, event_id string, offset long, decision string", "events array<string>, last long", "append", GroupStateTimeout.EventTimeTimeout,
     )
 
 
@@ -99,39 +119,54 @@ def record_verdicts(verdicts: DataFrame, table: str, checkpoint: str) -> Streami
 
 
 def ledger(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Remember (consumer, event_id, idempotency_key) of what was consumed, each once and for good."""
+    """Remember (consumer, event_id, idempotency_key) of what was consumed, each once and for good, in folders by consumer."""
     key = ["consumer", "event_id"]
 
     def remember(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select(*key, "idempotency_key")
-        old = spark.read.schema(rows.schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], rows.schema)
-        insert_if_absent(old, rows, key).write.mode("append").parquet(path)
+        rows = batch.select("event_id", "idempotency_key", "consumer")
+        consumers = [r[0] for r in rows.select("consumer").distinct().collect()]  # as many as there are consumers
+        old = spark.read.schema(rows.schema).parquet(path).where(F.col("consumer").isin(consumers)) if _exists(spark, path) else spark.createDataFrame([], rows.schema)
+        insert_if_absent(old, rows, key).write.mode("append").partitionBy("consumer").parquet(path)
 
     return messages.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(remember).start()
 
 
-def absences(verdicts: DataFrame, interval_minutes: int = 240, grace_minutes: int = 30) -> DataFrame:
-    """dataset, run_slot, kind: 'overdue' when event time passes a slot's deadline with no later one, 'back' when one comes after that."""
+def absences(verdicts: DataFrame, interval_minutes: int = 240, grace_minutes: int = 30, roster: DataFrame | None = None) -> DataFrame:
+    """dataset, run_slot, kind: 'overdue' when event time passes a slot's deadline with no later one, 'back' when one comes after that.
+
+    ``roster`` is a stream of (dataset, started): datasets that are expected from then on. One
+    of them that no verdict has come for by its deadline is 'never_seen'.
+    """
     wait = (interval_minutes + grace_minutes) * 60_000
 
     def watch(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        slot, alarmed = state.get if state.exists else (-1, False)
+        slot, alarmed, seen = state.get if state.exists else (-1, False, False)
         if state.hasTimedOut:
-            state.update((slot, True))
-            yield pd.DataFrame({"dataset": [key[0]], "run_slot": [pd.Timestamp(slot, unit="ms")], "kind": ["overdue"]})
+            state.update((slot, True, seen))
+            yield pd.DataFrame({"dataset": [key[0]], "run_slot": [pd.Timestamp(slot, unit="ms")], "kind": ["overdue" if seen else "never_seen"]})
             return
-        newest = max(int(pdf["run_slot"].max().timestamp() * 1000) for pdf in batches)
-        later = newest > slot
+        newest, expected = -1, -1
+        for pdf in batches:
+            for at, named in zip(pdf["run_slot"], pdf["__named"], strict=True):
+                ms = int(at.timestamp() * 1000)
+                newest, expected = (newest, max(expected, ms)) if named else (max(newest, ms), expected)
+        later = newest > slot or (newest >= 0 and not seen)
         if later and alarmed:
             yield pd.DataFrame({"dataset": [key[0]], "run_slot": [pd.Timestamp(newest, unit="ms")], "kind": ["back"]})
-        slot, alarmed = (newest, False) if later else (slot, alarmed)
-        state.update((slot, alarmed))
+        if later:
+            slot, alarmed, seen = newest, False, True
+        elif slot < 0:
+            slot = expected
+        state.update((slot, alarmed, seen))
         if not alarmed:
             state.setTimeoutTimestamp(max(slot + wait, state.getCurrentWatermarkMs() + 1))
 
-    return verdicts.withWatermark("run_slot", "0 seconds").groupBy("dataset").applyInPandasWithState(
-        watch, "dataset string, run_slot timestamp, kind string", "slot long, alarmed boolean", "append", GroupStateTimeout.EventTimeTimeout,
+    rows = verdicts.select("dataset", "run_slot", F.lit(False).alias("__named"))
+    if roster is not None:
+        rows = rows.unionByName(roster.select("dataset", F.col("started").alias("run_slot"), F.lit(True).alias("__named")))
+    return rows.withWatermark("run_slot", "0 seconds").groupBy("dataset").applyInPandasWithState(
+        watch, "dataset string, run_slot timestamp, kind string", "slot long, alarmed boolean, seen boolean", "append", GroupStateTimeout.EventTimeTimeout,
     )
 
 
@@ -142,10 +177,26 @@ def rate_windows(requests: DataFrame, window: str = "60 seconds", slide: str = "
     )
 
 
-def client_blocks(requests: DataFrame, per_client: int, window_seconds: int = 60, block_seconds: int = 300) -> DataFrame:
-    """client, ts, allowed, reason of every request: over the limit in the trailing window means blocked for a while; blocked requests do not count."""
+def total_breaches(requests: DataFrame, limits: DataFrame, window: str = "60 seconds", slide: str = "5 seconds", delay: str = "10 seconds") -> DataFrame:
+    """start, category, hits, total of the sliding windows in which a category's hits went over its limit.
+
+    ``limits`` (category, total) has a row for each category of the profile. Counts are combined before the shuffle, so a busy category is no one task's.
+    """
+    hits = requests.withWatermark("ts", delay).groupBy(F.window("ts", window, slide), "category").agg(F.count("*").alias("hits"))
+    return hits.join(F.broadcast(limits.select("category", "total")), "category").where("hits > total").select(F.col("window.start").alias("start"), "category", "hits", "total")
+
+
+def client_blocks(requests: DataFrame, per_client: int, window_seconds: int = 60, block_seconds: int = 300, allowlist: tuple[str, ...] = (), delay: str = "10 minutes") -> DataFrame:
+    """client, ts, allowed, reason of every request: over the limit in the trailing window means blocked for a while; blocked requests do not count.
+
+    Clients with an address in a network of ``allowlist`` are always allowed and have no state.
+    A client's state goes when event time is past its window and its block; requests more than ``delay`` late are dropped.
+    """
     def observe(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        hits, until = (list(state.get[0]), state.get[1]) if state.exists else ([], -1.0)
+        if state.hasTimedOut:
+            state.remove()
+            return
+        hits, until = (deque(state.get[0]), state.get[1]) if state.exists else (deque(), -1.0)
         for pdf in batches:
             pdf = pdf.sort_values("ts")
             allowed, reasons = [], []
@@ -155,15 +206,23 @@ def client_blocks(requests: DataFrame, per_client: int, window_seconds: int = 60
                     allowed.append(False)
                     reasons.append("client blocked")
                     continue
-                hits = [h for h in hits if h >= now - window_seconds] + [now]
+                while hits and hits[0] < now - window_seconds:
+                    hits.popleft()
+                hits.append(now)
                 over = len(hits) > per_client
                 if over:
                     until = now + block_seconds
                 allowed.append(not over)
                 reasons.append("over the limit" if over else "within the limit")
             yield pd.DataFrame({"client": key[0], "ts": pdf["ts"], "allowed": allowed, "reason": reasons})
-        state.update((hits, until))
+        state.update((list(hits), until))
+        end = max(until, (hits[-1] if hits else 0.0) + window_seconds)
+        state.setTimeoutTimestamp(max(int(end * 1000), state.getCurrentWatermarkMs()) + 1)
 
-    return requests.groupBy("client").applyInPandasWithState(
-        observe, "client string, ts timestamp, allowed boolean, reason string", "hits array<double>, until double", "append", GroupStateTimeout.NoTimeout,
+    listed = is_listed(F.col("client"), list(allowlist))
+    judged = requests.where(~listed).withWatermark("ts", delay).groupBy("client").applyInPandasWithState(
+        observe, "client string, ts timestamp, allowed boolean, reason string", "hits array<double>, until double", "append", GroupStateTimeout.EventTimeTimeout,
     )
+    if not allowlist:
+        return judged
+    return judged.unionByName(requests.where(listed).select("client", "ts", F.lit(True).alias("allowed"), F.lit("on the allowlist").alias("reason")))

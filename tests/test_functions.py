@@ -1,4 +1,5 @@
 import hashlib
+import unicodedata
 import hmac
 import base64
 
@@ -40,6 +41,11 @@ def luhn(digits):
     return 13 <= len(digits) <= 19 and total % 10 == 0
 
 
+def in_both_tables(c):
+    """Java's tables of characters are older than Python's, so only characters of an old Unicode are drawn."""
+    return unicodedata.ucd_3_2_0.category(c) == unicodedata.category(c)
+
+
 @settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text("0123456789 -", max_size=22), min_size=30, max_size=60))
 def test_card_numbers(spark, values):
@@ -117,8 +123,13 @@ def plain_mask(kind, s):
     return "".join("x" if c.isalpha() else "n" if c.isdigit() else c for c in s)
 
 
+def in_both_tables(c):
+    """Java's tables of characters are older than Python's, so only characters of an old Unicode are drawn."""
+    return unicodedata.ucd_3_2_0.category(c) == unicodedata.category(c)
+
+
 @settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.text(st.characters(codec="utf-8", categories=("Ll", "Lu", "Lo", "Nd", "Zs", "Po", "So"), max_codepoint=0x2FFF), max_size=12), min_size=20, max_size=40))
+@given(st.lists(st.text(st.characters(codec="utf-8", categories=("Ll", "Lu", "Lo", "Nd", "Zs", "Po", "So"), max_codepoint=0x2FFF).filter(in_both_tables), max_size=12), min_size=20, max_size=40))
 def test_masks_equal_plain_code(spark, values):
     for kind in ("MASK_SHOW_LAST_4", "MASK_SHOW_FIRST_8", "MASK_HASH", "MASK"):
         got = apply(spark, values, lambda c, kind=kind: masks.apply_mask(kind, c))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilframe.functions import crypto, ids
-from veilframe.operators import messages, policies, verdicts
+from veilframe.operators import messages, policies, protect, verdicts
 from veilframe.plans.registry import query, table
 from veilframe.plans.scalar_queries import DEMO_KEYS
 
@@ -60,3 +60,33 @@ def pipelines_mother_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("least") % 2 == 0, "child").otherwise("mother")
     rows = by.select("pipeline", kind.alias("kind"), F.when(F.col("n") % 2 == 0, "connected").otherwise("silent").alias("state"))
     return rows.orderBy((F.col("kind") != "mother").cast("int"), "pipeline")
+
+
+@query("""SELECT 'c_name' AS "column", 'contains plaintext' AS kind, count(*) AS n FROM customer WHERE c_custkey % 5 = 1 UNION ALL SELECT 'c_name', 'equals plaintext', count(*) FROM customer WHERE c_custkey % 5 = 0
+UNION ALL SELECT 'c_name', 'not an envelope', count(*) FROM customer WHERE c_custkey % 5 IN (0, 2) UNION ALL SELECT 'c_address', 'plaintext column', count(*) FROM customer""")
+def encryption_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.lit("somewhere").alias("c_address"))
+    sealed, kind = F.concat(F.lit("enc:v1:"), F.base64(F.unhex(F.sha2("c_name", 256)))), F.col("c_custkey") % 5
+    shown = F.when(kind == 0, F.col("c_name")).when(kind == 1, F.concat(F.lit("enc:v1:"), F.base64(F.concat(F.lit("x"), F.col("c_name"))))).when(kind == 2, F.lit("enc v1")).when(kind == 3, sealed)
+    artifact = source.select("c_custkey", "c_address", shown.alias("c_name_encrypted"))
+    return protect.encryption_leaks(artifact, source, "c_custkey", ["c_name", "c_address"])
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 7 IN (0, 1)")
+def card_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o, kind = table(spark, sf_dir, "orders").select("o_orderkey"), F.col("o_orderkey") % 7
+    prefix = F.when(kind == 0, "4111111111111111").when(kind == 1, "411111111111").otherwise("41111111")
+    return protect.card_leaks(o.select("o_orderkey", prefix.alias("card_prefix"), F.lit("1111").alias("card_suffix"))).select("o_orderkey")
+
+
+@query("SELECT * FROM (VALUES ('c_name'), ('c_name_blind_index'), ('c_phone_encrypted'), ('c_phone_masked')) AS t(name)")
+def flat_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = [*table(spark, sf_dir, "customer").columns, "c_phone_encrypted", "c_name_blind_index", "c_phone_masked", "masked_by"]
+    return spark.createDataFrame([(c,) for c in protect.flat_leaks(columns, ["c_name"])], "name string")
+
+
+@query("""SELECT * FROM (VALUES ('/a: type string became integer'), ('/b: enum values removed'), ('/c: removed'), ('/d/e: removed'), (': no longer required'), ('/f: const changed')) AS t(broken)""")
+def incompatible_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = {"required": ["a", "b"], "properties": {"a": {"type": "string"}, "b": {"enum": [1, 2]}, "c": {}, "d": {"properties": {"e": {}}}, "f": {"const": 1}, "g": {"type": "string"}}}
+    new = {"required": ["a"], "properties": {"a": {"type": "integer"}, "b": {"enum": [1]}, "d": {"properties": {}}, "f": {"const": 2}, "g": {"type": ["string", "null"]}, "h": {}}}
+    return spark.createDataFrame([(x.replace("/b: no", ": no"),) for x in messages.incompatible(old, new)], "broken string")

@@ -124,9 +124,10 @@ def scan(docs: DataFrame, known: DataFrame, broadcast_rows: int = 100_000) -> Da
     table = saved(known.select(F.col("digest").alias("key"), "licence").groupBy("key").agg(F.min("licence").alias("licence")))
     small = table.limit(broadcast_rows + 1).count() <= broadcast_rows
     table = F.broadcast(table) if small else table
-    base = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
-    lines = with_digest(base.select("row", F.explode(F.split("text", "\n")).alias("line")), "line").select("row", "key")
-    named = lines.join(table, "key").groupBy("row").agg(F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("line_licences"))
-    own = with_digest(base, "text").select("doc_id", "row", "key", F.when(F.col("canonical") != "", F.col("key")).alias("digest"))
+    # two hashes of id and text name a row: of one alone, ten thousand million rows would have equal ones
+    base = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text")).withColumn("row", F.xxhash64("doc_id", "text")).withColumn("check", F.xxhash64(F.lit(1), "text", "doc_id"))
+    lines = with_digest(base.select("row", "check", F.explode(F.split("text", "\n")).alias("line")), "line").select("row", "check", "key")
+    named = lines.join(table, "key").groupBy("row", "check").agg(F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("line_licences"))
+    own = with_digest(base, "text").select("doc_id", "row", "check", "key", F.when(F.col("canonical") != "", F.col("key")).alias("digest"))
     whole = own.join(table, "key", "left")
-    return whole.join(named, "row", "left").select("doc_id", "digest", "licence", F.coalesce("line_licences", F.lit("")).alias("line_licences"))
+    return whole.join(named, ["row", "check"], "left").select("doc_id", "digest", "licence", F.coalesce("line_licences", F.lit("")).alias("line_licences"))

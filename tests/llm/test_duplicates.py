@@ -24,7 +24,7 @@ def union_find(n, links):
 
 def test_components(spark):
     rng = random.Random(3)
-    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(i, i + 1) for i in range(500, 600)] + [(700, 701 + i) for i in range(50)]
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(i, i + 1) for i in range(500, 540)] + [(700, 701 + i) for i in range(50)]
     want = union_find(800, links)
     for heavy in (1000, 5):  # few or many nodes are broadcast
         got = {r.node: r.component for r in common.components(spark.createDataFrame(links, "src long, dst long"), heavy=heavy).collect()}
@@ -109,8 +109,8 @@ def test_prefixes_are_shortened_until_the_recall_is_reached(spark, monkeypatch):
     far = [(k * 60 + i, t if not k else " ".join(t.split()[:400 - 36 * k])) for i, t in enumerate(texts) for k in range(3)]
     depths, got = levels(spark, monkeypatch, far, target_recall=0.9999)
     assert depths[:3] == [8, 7, 6] and got == brute(far)
-    depths, got = levels(spark, monkeypatch, far[:1], target_recall=0.99999)
-    assert depths == [8, 7, 6, 5, 4] and got == brute(far[:1])
+    depths, got = levels(spark, monkeypatch, far[:2], target_recall=0.99999)
+    assert depths == [8, 7, 6, 5, 4] and got == brute(far[:2])
 
 
 def test_estimated_recall():
@@ -224,3 +224,14 @@ def test_thousands_of_unequal_near_copies_are_compared(spark, monkeypatch):
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     assert got.n_links.tolist() == ((unit @ unit.T >= 0.93).sum(1) - 1).tolist()
     assert got.component_id.tolist() == [0] * 2400 + list(range(2400, 2800))
+
+
+def test_recall_at_production_parameters(spark):
+    """One label of more vectors than a leaf holds, so that trees split; half of them near copies over the band."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(3000, 48))
+    x[1500:] = x[:1500] + rng.normal(size=(1500, 48)) * rng.uniform(0.05, 0.45, 1500)[:, None]
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": range(3000), "embedding": list(x.tolist()), "label": 1}))
+    got = embedding_forest.near_duplicate_vectors(df).toPandas().set_index("vec_id").sort_index()
+    n, _ = brute_vectors(x, np.ones(3000, int))
+    assert (got.n_links.to_numpy() <= n).all() and got.n_links.sum() >= 0.95 * n.sum() and n.sum() > 1500

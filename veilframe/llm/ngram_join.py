@@ -232,7 +232,7 @@ def near_duplicates(
     )
     paths, known = _forest(texts, signed, least_depth)
     found, links = [], np.zeros(1001)
-    for depth in range(DEPTH, least_depth - 1, -1):
+    for depth in range(DEPTH, DEPTH - 1 if known.isEmpty() else least_depth - 1, -1):  # where no two texts share the shortest prefix one level says so
         level = _verify(paths, known, depth, threshold, block_rows, block_chars, spread)
         found.append(level.where("node is not null"))
         new = np.zeros(1001)

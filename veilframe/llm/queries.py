@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,12 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@lru_cache(maxsize=2)
+def _vocabulary(path: str) -> unigram_pieces.Vocabulary:
+    """The trie of a model file, built once in a process."""
+    return unigram_pieces.build(unigram_pieces.read_pieces(Path(path).read_bytes()))
+
+
 def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -59,8 +66,7 @@ def op9_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = unigram_pieces.read_pieces(Path(tokenizer_file("piece_bpe_32k.model")).read_bytes())
-    return unigram_pieces.digests(unigram_pieces.encode_documents(table(spark, sf_dir, "documents"), unigram_pieces.build(pieces)))
+    return unigram_pieces.digests(unigram_pieces.encode_documents(table(spark, sf_dir, "documents"), _vocabulary(tokenizer_file("piece_bpe_32k.model"))))
 
 
 QUERIES = {

@@ -388,7 +388,11 @@ def _stream(spark: SparkSession, sf_dir: str, rows: DataFrame, transform, mode:
 def _folder(spark: SparkSession) -> str:
     import uuid
 
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="veilframe-stream-")
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="veilframe-stream-")
     return f"{base}/stream-{uuid.uuid4().hex}"
 
 

@@ -215,6 +215,14 @@ def test_sources(spark, tmp_path):
     assert orders.where(F.length("card_info") == 16).where("luhn_check(card_info)").count() == 50
 
 
+def test_changes_in_slots(spark):
+    rows = [(d, t, v) for d in ("a", None) for t, v in ((1, True), (2, True), (5, None), (6, False), (21, False), (22, True), (40, True), (41, None))]
+    df = spark.createDataFrame(rows, "dataset string, at long, healthy boolean")
+    want = [(d, t) for d in ("", "a") for t in (1, 5, 6, 22, 41)]
+    for slot in (None, F.floor(F.col("at") / 10), F.col("at")):
+        assert sorted((r.dataset or "", r.at) for r in verdicts.changes(df, slot=slot).collect()) == want
+
+
 def test_addresses_and_networks_of_both_kinds(spark):
     import ipaddress
 

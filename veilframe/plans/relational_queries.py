@@ -274,7 +274,7 @@ def watchdog_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_type, event_id, healthy FROM e WHERE b IS DISTINCT FROM healthy""")
 def status_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_type", "event_id", (F.col("event_id") % 4 < 2).alias("healthy"))
-    return verdicts.changes(rows, "event_type", "event_id")
+    return verdicts.changes(rows, "event_type", "event_id", slot=F.floor(F.col("event_id") / 500))
 
 
 @query("""WITH r AS (SELECT o_orderkey AS run, o_orderkey % 10 AS kind FROM orders)

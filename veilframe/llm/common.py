@@ -39,7 +39,16 @@ def saved(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/veilframe/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove what :func:`saved` wrote for frames that nothing reads any more: all that came of them has been written itself."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.saved_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def slices(texts: pa.Array, limit: int = 16_000_000) -> Iterator[tuple[int, int]]:
@@ -107,7 +116,8 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds:
                 F.struct(F.col("m").alias("u"), F.col("u").alias("v")),
             )).alias("e")
         ).select("e.u", "e.v").where("u < v").distinct()
-        pairs = saved(small)
+        old, pairs = pairs, saved(small)
+        discard(old)
     else:
         raise RuntimeError("connected components did not settle")
     roots = pairs.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()

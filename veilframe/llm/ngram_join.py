@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import components, saved, slices, with_few
+from veilframe.llm.common import components, discard, saved, slices, with_few
 
 TREES, DEPTH = 24, 8
 _rng = np.random.default_rng(20)
@@ -241,6 +241,7 @@ def near_duplicates(
         links += new
         if estimated_recall(links, new.sum(), depth, threshold) >= target_recall:
             break
+    discard(paths, known)  # the levels have been written
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
@@ -340,4 +341,6 @@ def _verify(paths: DataFrame, known: DataFrame, depth: int, threshold: float, bl
             "n": pa.array(np.concatenate([n[some], np.zeros(len(child), np.int64), similar[at]])),
         })
 
-    return saved(grouped.groupBy("large", "i", "j").applyInArrow(verify, "node long, other long, n long"))
+    found = saved(grouped.groupBy("large", "i", "j").applyInArrow(verify, "node long, other long, n long"))
+    discard(clusters, sizes)
+    return found

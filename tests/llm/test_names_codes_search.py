@@ -2,6 +2,7 @@
 
 import hashlib
 import heapq
+import itertools
 import math
 import random
 import re
@@ -56,9 +57,11 @@ def test_block_naming_of_text_ids_and_no_rows(spark):
 def test_names_are_ranks_and_a_hot_key_is_cut(spark):
     keys = ["m"] * 3000 + [chr(97 + i % 26) * (1 + i % 5) for i in range(600)]
     rows = spark.createDataFrame([(i, 0, k) for i, k in enumerate(keys)], "row long, pos long, key string").repartition(8)
-    got = block_naming.named(rows, "key").collect()
     rank = {k: i for i, k in enumerate(sorted(set(keys)))}
-    assert {r.row: r.name for r in got} == {i: rank[k] for i, k in enumerate(keys)}
+    for digest in (None, F.lit(5).cast("long"), F.ascii("key").cast("long")):  # keys that share a digest are dealt themselves
+        assert {r.row: r.name for r in block_naming.named(rows, "key", digest=digest).collect()} == {i: rank[k] for i, k in enumerate(keys)}
+    names = {k: {r.name for r in own} for k, own in itertools.groupby(sorted(block_naming.named(rows, "key", digest=F.xxhash64("key")).collect(), key=lambda r: keys[r.row]), key=lambda r: keys[r.row])}
+    assert sorted(n for own in names.values() for n in own) == list(range(len(rank)))
     ranged = rows.repartitionByRange(8, "key", "row", "pos").groupBy(F.spark_partition_id()).count().toPandas()["count"]
     assert ranged.max() < 2 * len(keys) / 8
 

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilframe.llm.common import discard, saved, slices, with_few
@@ -25,44 +25,58 @@ from veilframe.llm.common import discard, saved, slices, with_few
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 
-def named(rows: DataFrame, *key: str) -> DataFrame:
+def named(rows: DataFrame, *key: str, digest: Column | None = None) -> DataFrame:
     """``rows`` (row, pos, the key and further columns) with name, the rank of their key among the distinct keys, instead of the key.
 
     Rows are dealt to ranges of (key, row, pos), so a key that a third of the rows has is cut
     into several tasks; a range goes on with the rank of the one before where both have a key
-    in common. Keys must not be null.
+    in common. Keys must not be null. With a ``digest`` of a long key, keys are in order of
+    digest and then of themselves, and the bounds of ranges, which the driver samples, hold
+    the digest alone; should two keys share one, the keys themselves are dealt.
     """
     kinds = dict(rows.dtypes)
     rest = [c for c in rows.columns if c not in key]
+    dealt = rows.withColumn("digest", F.lit(0).cast("long") if digest is None else digest)
+    digested = digest is not None
+    order = ("digest",) if digested else key
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before, done = TaskContext.get().partitionId(), None, -1
         for batch, after in itertools.pairwise(itertools.chain((b for b in batches if b.num_rows), [None])):
             n = batch.num_rows
-            keys = [batch.column(k) for k in key]
-            new = np.zeros(n, bool)
-            new[0] = before != [k[0].as_py() for k in keys]
-            for k in keys:
-                new[1:] |= pc.not_equal(k[1:], k[:-1]).to_numpy(zero_copy_only=False)
+            keys = [batch.column(k) for k in ("digest", *key)]
+            new, same_digest = np.zeros(n, bool), np.zeros(n, bool)
+            new[0], same_digest[0] = before != [k[0].as_py() for k in keys], before is not None and before[0] == keys[0][0].as_py()
+            for i, k in enumerate(keys):
+                other = pc.not_equal(k[1:], k[:-1]).to_numpy(zero_copy_only=False)
+                new[1:] |= other
+                if i == 0:
+                    same_digest[1:] = ~other
             local = done + np.cumsum(new)
-            end = np.zeros(n, bool)
-            end[0], end[-1] = before is None, after is None or (n == 1 and before is None)
+            clash = new & same_digest if digested else np.zeros(n, bool)
+            end = clash.copy()
+            end[0] |= before is None
+            end[-1] |= after is None
             before, done = [k[-1].as_py() for k in keys], int(local[-1])
             shown = [pc.if_else(pa.array(end), k, pa.scalar(None, k.type)) for k in keys]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in rest), pa.array(np.full(n, part, np.int32)), pa.array(local), pa.array(end), *shown], [*rest, "part", "local", "is_end", *key],
+                [*(batch.column(c) for c in rest), pa.array(np.full(n, part, np.int32)), pa.array(local), pa.array(end), pa.array(clash), *shown], [*rest, "part", "local", "is_end", "clash", "digest", *key],
             )
 
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in rest), "part int, local long, is_end boolean", *(f"`{k}` {kinds[k]}" for k in key)])
-    ranked = saved(rows.repartitionByRange(*key, "row", "pos").sortWithinPartitions(*key, "row", "pos").mapInArrow(rank, schema))
-    ends = ranked.where("is_end").select("part", "local", *key).orderBy("part", "local").collect()  # two rows for each task
-    bases, total, last = [], 0, None
-    for part, own in itertools.groupby(ends, lambda r: r["part"]):
-        first, *more = own
-        end = more[-1] if more else first
-        total -= last is not None and all(first[k] == last[k] for k in key)
-        bases.append((part, total))
-        total, last = total + end["local"] + 1, end
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in rest), "part int, local long, is_end boolean, clash boolean, digest long", *(f"`{k}` {kinds[k]}" for k in key)])
+    ranked = saved(dealt.repartitionByRange(*order, "row", "pos").sortWithinPartitions("digest", *key, "row", "pos").mapInArrow(rank, schema))
+    along = Window.orderBy("part", "local")  # two rows for each task
+    like_before = lambda *columns: F.coalesce(F.struct(*columns) == F.lag(F.struct(*columns)).over(along), F.lit(False))
+    ends = ranked.where("is_end").select("part", "local", "clash", like_before("digest").alias("same_digest"), like_before(*key).alias("same"), (F.lag("part").over(along) < F.col("part")).alias("starts"))
+    ends = ends.groupBy("part").agg(F.max("local").alias("last"), F.max(F.coalesce("starts", F.lit(False)) & F.col("same")).alias("goes_on"), F.max(F.col("clash") | (F.col("same_digest") & ~F.col("same"))).alias("clash")).orderBy("part").collect()  # a row for each task
+    if digested and any(r["clash"] for r in ends):
+        discard(ranked)
+        return named(rows, *key)
+    bases, total = [], 0
+    for r in ends:
+        total -= r["goes_on"]
+        bases.append((r["part"], total))
+        total += r["last"] + 1
     base = F.broadcast(rows.sparkSession.createDataFrame(bases, "part int, base long"))  # a row for each task
     return ranked.join(base, "part").select(*rest, (F.col("base") + F.col("local")).alias("name"))
 
@@ -99,7 +113,7 @@ def identities(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A document of up to 2 ** level blocks, and of more than half as many, has its one name at that level.
     """
-    now = named(blocks, "block")
+    now = named(blocks, "block", digest=F.xxhash64("block"))
     facts = now.where("pos = 0").drop("pos", "n_blocks", "name")
     most = now.agg(F.max("n_blocks")).first()[0] or 1
     found = now.where("n_blocks = 1").select("row", F.lit(0).alias("level"), "name")
@@ -111,7 +125,7 @@ def identities(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     return found, facts
 
 
-def deduplicate(docs: DataFrame, block_bytes: int = 512) -> DataFrame:
+def deduplicate(docs: DataFrame, block_bytes: int = 2048) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row of ``docs`` (doc_id, text; further columns are ignored).
 
     Texts are equal if they are the same without white space (space and the characters 9 to

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.functions.ids import SCHEMA_VERSION, event_id, idempotency_key, iso_z
+from veilframe.operators import json_contracts
 from veilframe.operators.protect import CIPHER, INDEX, LeakError, flat_leaks
 
 ENCRYPTED, FLAT, VERDICT = "row.encrypted", "row.flat", "run.verdict"
 TOPICS = {ENCRYPTED: "rows.encrypted", FLAT: "rows.flat", VERDICT: "control"}
-HEX_ID, SLOT = "^[0-9a-f]{32}$", r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
+#: The contract of each event type, and of messages of any other; files of CONTRACTS.
+SCHEMA_OF, ANY_SCHEMA = {ENCRYPTED: "row_encrypted.schema.json", FLAT: "row_flat.schema.json", VERDICT: "run_verdict.schema.json"}, "envelope.schema.json"
+STAGE_SCHEMA = "stage_event.schema.json"
+CONTRACTS = json_contracts.Contracts.read(Path(__file__).parents[1] / "schemas")
 ENVELOPE_FIELDS = "schema_version event_type event_id idempotency_key dataset logical_date run_slot trace_id run_id try_number key producer produced_at".split()
 ENVELOPE_TYPE = "struct<" + ",".join(f"{f}:{'int' if f == 'try_number' else 'string'}" for f in ENVELOPE_FIELDS) + ">"
 MESSAGE_TYPE = f"struct<envelope:{ENVELOPE_TYPE},payload:map<string,string>,signature:string>"
@@ -58,36 +63,32 @@ def canonical_json(obj: object) -> str:
     return json.dumps(obj, sort_keys=True, separators=(",", ":"), ensure_ascii=False, default=str)
 
 
-def decode(raw: Column) -> Column:
-    """The message of a JSON text; null where it is not JSON or has no envelope and payload."""
+def _rules(contracts: json_contracts.Contracts) -> json_contracts.Plan:
+    return contracts.selected(("envelope", "event_type"), SCHEMA_OF, ANY_SCHEMA)
+
+
+def judged(messages: DataFrame, raw: str = "value", name: str = "problems", contracts: json_contracts.Contracts = CONTRACTS) -> DataFrame:
+    """``messages`` with the sorted codes of what is wrong with each JSON text, by the contract that its event type selects.
+
+    A text that is null or no JSON is not_json.
+    """
+    return _rules(contracts).onto(messages, raw, name)
+
+
+def parse(raw: Column) -> Column:
+    """The message of a JSON text, unjudged; null where it is not JSON or has no envelope and payload."""
     m = F.from_json(raw, MESSAGE_TYPE)
     return F.when(m["envelope"].isNotNull() & m["payload"].isNotNull(), m)
 
 
-def problems(m: Column, raw: Column | None = None) -> Column:
+def decode(raw: Column, contracts: json_contracts.Contracts = CONTRACTS) -> Column:
+    """The same with what is wrong with it; for a table rather :func:`judged` and :func:`parse`."""
+    return F.when(parse(raw).isNotNull(), F.from_json(raw, MESSAGE_TYPE).withField("problems", _rules(contracts).column(raw)))
+
+
+def problems(m: Column) -> Column:
     """Sorted codes of what is wrong with a decoded message; an empty array if nothing is."""
-    e, p = m["envelope"], m["payload"]
-    kind, names = e["event_type"], F.coalesce(F.map_keys(p), F.array().cast("array<string>"))
-    sealed = rf"({CIPHER}|{INDEX})$"
-    rules = {
-        "not_json": m.isNull(),
-        "schema_version": ~e["schema_version"].eqNullSafe(F.lit(SCHEMA_VERSION)),
-        "event_type": ~F.coalesce(kind.isin(ENCRYPTED, FLAT, VERDICT), F.lit(False)),
-        **{c: ~F.coalesce(e[c].rlike(HEX_ID), F.lit(False)) for c in ("event_id", "idempotency_key")},
-        **{c: ~F.coalesce(e[c].rlike(SLOT), F.lit(False)) for c in ("run_slot", "produced_at")},
-        **{c: ~F.coalesce(F.length(e[c]) > 0, F.lit(False)) for c in ("dataset", "trace_id", "run_id", "producer")},
-        "logical_date": F.to_date(F.try_to_timestamp(e["logical_date"], F.lit("yyyy-MM-dd"))).isNull(),
-        "try_number": ~F.coalesce(e["try_number"] >= 1, F.lit(False)),
-        "row_key": F.coalesce(kind.isin(ENCRYPTED, FLAT), F.lit(False)) & e["key"].isNull(),
-        "encrypted_payload": (kind == ENCRYPTED) & (F.exists(names, lambda n: ~n.rlike(sealed)) | (F.size(names) == 0)),
-        "encrypted_value": (kind == ENCRYPTED) & F.exists(F.map_entries(F.coalesce(p, F.create_map().cast("map<string,string>"))), lambda x: x["key"].endswith(CIPHER) & x["value"].isNotNull() & ~x["value"].rlike("^enc:[^:]+:")),
-        "flat_payload": (kind == FLAT) & F.exists(names, lambda n: n.rlike(rf"({CIPHER}|{INDEX}|_masked)$")),
-        "verdict_payload": (kind == VERDICT) & ~(F.array_contains(names, "proceed") & F.array_contains(names, "status") & F.array_contains(names, "reasons")),
-        "verdict_status": (kind == VERDICT) & ~F.coalesce(F.element_at(p, "status").isin("complete", "degraded", "failed"), F.lit(False)),
-        "signature": (kind == VERDICT) & F.coalesce(F.length(m["signature"]) == 0, F.lit(True)),
-    }
-    codes = [F.when(F.when(m.isNull(), F.lit(name == "not_json")).otherwise(F.coalesce(wrong, F.lit(False))), F.lit(name)) for name, wrong in rules.items()]
-    return F.array_sort(F.array_compact(F.array(*codes)))
+    return F.coalesce(m["problems"], F.array(F.lit("not_json")))
 
 
 def dedupe(messages: DataFrame, consumer: str | None = None, order: tuple[str, ...] = ("offset",)) -> DataFrame:

@@ -205,9 +205,9 @@ def published_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     sealed = crypto.Encryptor(DEMO_KEYS).protect(rows, {"o_orderpriority": "o_orderpriority_encrypted"}, {"o_orderpriority": "o_orderpriority_blind_index"})
     cols = ["o_orderkey", "o_orderstatus", "o_orderpriority_encrypted", "o_orderpriority_blind_index"]
     out = messages.row_messages(sealed, _envelope, cols, ["o_orderpriority"])
-    m = out.withColumn("m", messages.decode(F.col("value")))
+    m = messages.judged(out).withColumn("m", messages.parse(F.col("value")))
     return m.groupBy("topic").agg(
-        F.count("*").alias("n"), F.count_distinct("key").alias("n_keys"), F.count_if(F.size(messages.problems(F.col("m"))) == 0).alias("n_valid"),
+        F.count("*").alias("n"), F.count_distinct("key").alias("n_keys"), F.count_if(F.size("problems") == 0).alias("n_valid"),
         F.sum(F.coalesce(F.length(F.element_at("m.payload", "o_orderstatus")), F.lit(0)).cast("long")).alias("status_chars"),
     )
 
@@ -229,8 +229,8 @@ def validate_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         broken = F.when(kind == k, env.withField(name, value)).otherwise(broken)
     body = F.when(kind == 2, F.create_map(F.lit("c_name_masked"), F.col("event_type"))).otherwise(F.create_map(F.lit("event_type"), F.col("event_type")))
     value = F.when(kind == 0, F.lit("{oops")).otherwise(F.to_json(F.struct(broken.alias("envelope"), body.alias("payload"))))
-    found = e.select(messages.decode(value).alias("m"))
-    return found.groupBy(F.array_join(messages.problems(F.col("m")), ",").alias("problems")).agg(F.count("*").alias("n"))
+    found = messages.judged(e.select(value.alias("value")))
+    return found.groupBy(F.array_join("problems", ",").alias("problems")).agg(F.count("*").alias("n"))
 
 
 _REPLAYS = """SELECT 'tap' AS consumer, 'e' || event_id AS event_id, 'u' || (event_id // 3) AS idempotency_key, event_id * 2 AS "offset" FROM events

@@ -140,7 +140,7 @@ def publish(env: RunEnv) -> dict:
         return messages.envelope(kind, env.dataset, slot, F.lit(env.trace_id), env.run_id, env.try_number, F.col(key), "pipeline", F.current_timestamp())
 
     out = messages.row_messages(rows, wrap, [c for c in rows.columns if c not in ("logical_date",)], manifest.names(sensitive=True))
-    bad = out.withColumn("wrong", messages.problems(messages.decode(F.col("value")))).where("size(wrong) > 0")
+    bad = messages.judged(out, name="wrong").where("size(wrong) > 0")
     if sample := bad.limit(1).collect():
         raise ValueError(f"message breaks its contract: {sample[0]['wrong']}")
     out.write.mode("overwrite").partitionBy("topic").parquet(env.artifact("messages"))

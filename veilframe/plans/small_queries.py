@@ -90,3 +90,15 @@ def incompatible_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = {"required": ["a", "b"], "properties": {"a": {"type": "string"}, "b": {"enum": [1, 2]}, "c": {}, "d": {"properties": {"e": {}}}, "f": {"const": 1}, "g": {"type": "string"}}}
     new = {"required": ["a"], "properties": {"a": {"type": "integer"}, "b": {"enum": [1]}, "d": {"properties": {}}, "f": {"const": 2}, "g": {"type": ["string", "null"]}, "h": {}}}
     return spark.createDataFrame([(x.replace("/b: no", ": no"),) for x in messages.incompatible(old, new)], "broken string")
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'not_json' WHEN event_id % 5 = 1 THEN 'inserted' WHEN event_id % 5 = 2 THEN 'inserted,updated' WHEN event_id % 5 = 3 THEN 'stage' ELSE '' END AS problems FROM events""")
+def stage_event_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage events held against their contract file: one without a count, one with counts below 0, one of an unknown stage, one that is no JSON."""
+    e = table(spark, sf_dir, "events")
+    kind = F.col("event_id") % 5
+    text = lambda stage, counts: F.concat(F.lit('{"trace_id": "t", "run_id": "r", "dataset": "events", "stage": "' + stage + '"'), counts, F.lit("}"))
+    both = lambda n: F.concat(F.lit(', "inserted": '), n.cast("string"), F.lit(', "updated": '), n.cast("string"))
+    value = F.when(kind == 0, F.lit("{")).when(kind == 1, text("load", F.lit(', "updated": 1'))).when(kind == 2, text("load", both(-F.col("user_id") - 1))).when(kind == 3, text("rest", F.lit(""))).otherwise(text("load", both(F.col("user_id"))))
+    judged = messages.CONTRACTS.plan(messages.STAGE_SCHEMA).onto(e.select("event_id", value.alias("value")), "value", "problems")
+    return judged.select("event_id", F.array_join("problems", ",").alias("problems"))

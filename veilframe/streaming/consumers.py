@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from veilframe.operators.messages import decode, problems, wakes
+from veilframe.operators.messages import decode, judged, parse, wakes
 from veilframe.operators.traffic import is_listed
 from veilframe.operators.warehouse import VersionedTable, insert_if_absent
 
@@ -31,8 +31,7 @@ def read_kafka(spark: SparkSession, servers: str, topics: str) -> DataFrame:
 
 def tapped(messages: DataFrame) -> DataFrame:
     """Each message decoded, with whether and why not it is valid; invalid ones are kept."""
-    m = decode(F.col("value"))
-    return messages.withColumn("message", m).withColumn("problems", problems(F.col("message"))).select(
+    return judged(messages).withColumn("message", parse(F.col("value"))).select(
         "topic", "partition", "offset", "received_at", "value", F.col("message.envelope.event_type").alias("event_type"), F.col("message.envelope.event_id").alias("event_id"),
         F.col("message.envelope.idempotency_key").alias("idempotency_key"), F.col("message.envelope.dataset").alias("dataset"), F.col("message.envelope.run_slot").alias("run_slot"),
         (F.size("problems") == 0).alias("valid"), "problems",

@@ -5,18 +5,42 @@ back as the next stage's docs. All but the last return the columns of ``docs``,
 any number and under any names, for the rows that they keep. Decisions are by row: a
 stage numbers the rows of its input, so of rows that share a doc_id, or have none, each
 stays or goes on its own. An empty table goes through all stages.
+
+What a stage has written on the way is removed when the next one begins, or the same one
+again, so its result must be written by then.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilframe.llm import curve_packing, ngram_join, quality_resampling, toxicity_channel
-from veilframe.llm.common import saved, table
+from veilframe.llm.common import discard, recorded, saved, table
 from veilframe.llm.queries import tokenizer_file
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_left: list[DataFrame] = []  # what the latest stage wrote for itself
+
+
+def _tidy(stage: Stage) -> Stage:
+    """The stage, which first removes what the one before has left."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        done, _left[:] = [x for x in _left if x.sparkSession is spark], []
+        discard(*done)
+        with recorded() as files:
+            out = stage(spark, docs, sf_dir)
+        _left.extend(files)
+        return out
+
+    return run
+
+
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs``, written with a number for each row, and the name of that column."""
     name = "row"
@@ -30,6 +54,7 @@ def _kept(numbered: DataFrame, row: str, verdicts: DataFrame, keep: str) -> Data
     return numbered.join(verdicts.where(keep).select(row), row, "left_semi").drop(row)
 
 
+@_tidy
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that importance resampling draws.
 
@@ -40,12 +65,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _kept(numbered, row, quality_resampling.judge(numbered, table(spark, sf_dir, "labels"), carry=(row,)), "kept")
 
 
+@_tidy
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that are not predicted toxic. A null or empty text has the base rate; repeated rows stay or go alike."""
     numbered, row = _numbered(docs)
     return _kept(numbered, row, toxicity_channel.score_toxicity(numbered, table(spark, sf_dir, "labels"), carry=(row,)), "predicted = 0")
 
 
+@_tidy
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near duplicates: one of the smallest doc_id.
 
@@ -56,6 +83,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _kept(numbered, row, ngram_join.near_duplicates(numbered, carry=(row,)), "kept")
 
 
+@_tidy
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the kept documents, packed along the curve. A null or empty text is its end id; repeated rows are packed each."""
     return curve_packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
@@ -70,5 +98,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir))
+        before, docs = docs, saved(stage(spark, docs, sf_dir))
+        if hasattr(before, "saved_at"):
+            discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -270,3 +270,14 @@ def test_rules_of_odd_rows(spark, odd, labels):
     assert len(got) == len(ODD) and got[got.doc_id == 1].n_words.tolist() == [0] and not got.kept.any()
     assert rules.apply_rules(odd, labels.limit(0)).count() == len(ODD)
     assert rules.apply_rules(odd.limit(0), labels).count() == 0
+
+
+def test_copies_of_the_table_prove_nothing_more(spark, docs, labels):
+    own = docs.select("doc_id", "text", "lang").toPandas()
+    known = labels.toPandas()
+    once = rules.apply_rules(docs, labels).toPandas()
+    again = pd.concat([own.assign(doc_id=own.doc_id + k * 1_000_000) for k in range(5)] + [own])
+    known = pd.concat([known.assign(doc_id=known.doc_id + k * 1_000_000) for k in range(5)])
+    got = rules.apply_rules(spark.createDataFrame(again), spark.createDataFrame(known)).toPandas()
+    steps = once.set_index("doc_id").steps.to_dict()
+    assert {int(i): n for i, n in zip(got.doc_id, got.steps, strict=True) if i in steps} == steps and len(got) == len(again)

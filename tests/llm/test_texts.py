@@ -389,3 +389,28 @@ def test_pieces_of_odd_rows(spark, vocabulary):
     assert got[got.doc_id == 1][["n_ids", "round_trip"]].values.tolist() == [[0, True]]
     assert got[got.doc_id == 3].round_trip.tolist() == [False] and got[got.doc_id != 3].round_trip.all()
     assert unigram_pieces.encode_documents(df.limit(0), vocabulary).count() == 0
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ('<div class="layout with-sidebar"><article><p>Whole article</p></article><div class="sidebar">Side</div></div>', "Whole article"),
+    ('<div id="page" class="no-ads"><main><p>Main text</p></main></div><div class="ads">Buy</div>', "Main text"),
+    ('<article><div class="post-header"><h1>Title</h1></div><p>Text</p><div class="article-footer">Written by A</div></article>', "Title\nText\nWritten by A"),
+    ('<div role="main"><p>One</p><div><div>Two</div></div><div class="share-buttons">Share</div>Three</div><div>Other</div>', "One\nTwo\nThree"),
+    ('<body><div>Top</div><section itemprop="articleBody"><p>Body</p></section><p>Below</p></body>', "Body"),
+    ('<div class="site-header-wrapper"><p>Logo</p><main>Main</main></div>', "Main"),
+    ('<div class="cookie-overlay"><p>Cookies</p></div><div class="overlay-page"><article>Text</article></div>', "Text"),
+    ('<main><p>Text</p><div class="comments"><article>First!</article></div><div class="related-articles"><article>See</article></div><div class="widget"><article>Card</article></div></main>', "Text"),
+    ('<article>Text<div class="post-comments"><p>First!</p></div><div class="comment-list">x</div><ul class="post-navigation"><li>Next</ul></article>', "Text"),
+    ('<article><p>Left open<div class="sidebar"><p>Side</div><p>End', "Left open\nEnd"),
+])
+def test_class_names_of_wrappers_take_no_text_away(page, text):
+    found = html_main_text.blocks(page)
+    assert "\n".join(t for role, t in found if role == html_main_text.ARTICLE) == text
+
+
+def test_copies_that_share_an_id_are_spread(spark, tokenizer):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(rng.choice("sea tax law ship".split(), 40))) for i in range(200)] + [(7, "one text that is loaded again and again " * 4)] * 3000 + [(None, "nameless " * 9)] * 500
+    pieces = curve_packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), PATH, partitions=8)
+    per_task = pieces.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert len(per_task) == 8 and per_task.max() < 2 * per_task.mean() and pieces.where("start = 0").count() == len(rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
@@ -41,9 +42,25 @@ def saved(df: DataFrame) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.saved_at = path
+    for written in _recorders:
+        written.append(out)
     return out
 
 
+_recorders: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def recorded() -> Iterator[list[DataFrame]]:
+    """All frames that :func:`saved` writes meanwhile, for who wants to :func:`discard` them."""
+    written: list[DataFrame] = []
+    _recorders.append(written)
+    try:
+        yield written
+    finally:
+        _recorders.remove(written)
+
+
 def discard(*frames: DataFrame) -> None:
     """Remove what :func:`saved` wrote for frames that nothing reads any more: all that came of them has been written itself."""
     for df in frames:

@@ -199,10 +199,10 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, sequence: int =
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece.
 
     ``docs`` (doc_id, text; further columns are ignored). A document is its text's
-    ids, then ``end_id``. A null or empty text is that one id. Documents with equal
-    Hilbert keys (copies) are ordered by a hash of doc_id, then by doc_id, so a hot
-    key is spread over tasks like any other; repeated rows are packed each. An empty
-    table gives no pieces.
+    ids, then ``end_id``. A null or empty text is that one id. Rows with equal Hilbert keys
+    (copies, also those that share a doc_id or have none) are ordered by a hash of doc_id and
+    of the number that each row gets when its tokens are written, so a hot key is spread over
+    tasks like any other; repeated rows are packed each. An empty table gives no pieces.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
@@ -224,7 +224,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, sequence: int =
                     ["doc_id", *(f"x{d}" for d in range(DIMS)), "n", "ids"],
                 )
 
-    tokens = saved(base.mapInArrow(tokenize, f"doc_id {kind}, {', '.join(f'x{d} double' for d in range(DIMS))}, n long, ids binary"))
+    tokenized = base.mapInArrow(tokenize, f"doc_id {kind}, {', '.join(f'x{d} double' for d in range(DIMS))}, n long, ids binary")
+    tokens = saved(tokenized.withColumn("row", F.monotonically_increasing_id()))
     stats = tokens.agg(F.sum("n"), F.count("*"), *(f(F.col(f"x{d}")) for d in range(DIMS) for f in (F.avg, F.stddev_pop))).first()
     total, n_docs = stats[0] or 0, stats[1]
     centre = [(stats[2 + 2 * d] or 0.0, max(stats[3 + 2 * d] or 0.0, 1e-12)) for d in range(DIMS)]
@@ -237,7 +238,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, sequence: int =
             cells[:, d] = np.minimum((1 / (1 + np.exp(-1.702 * np.clip(z, -20, 20)))) * (1 << BITS), (1 << BITS) - 1)  # near the normal law's ranks
         return pd.Series(hilbert_key(cells) << TIE_BITS)
 
-    tie = F.pmod(F.xxhash64("doc_id"), F.lit(1 << TIE_BITS))
+    tie = F.pmod(F.xxhash64("doc_id", "row"), F.lit(1 << TIE_BITS))
     keyed = tokens.withColumn("key", curve(*(F.col(f"x{d}") for d in range(DIMS))) + tie)
     parts = partitions or max(1, min(20_000, -(-total // 2_000_000)), int(spark.conf.get("spark.sql.shuffle.partitions")))
     narrow = saved(keyed.select("key", "n"))

@@ -71,8 +71,8 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols = [pa.array([x[i] for x in found], pa.int64()) for i in range(5)]
         rules = [pa.array([x[5][i] for x in found], pa.float64()) for i in range(len(RULES))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), *cols, *rules],
-            ["doc_id", "stratum", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *RULES],
+            [batch.column(0), batch.column(1), batch.column(3), *cols, *rules],
+            ["doc_id", "stratum", "digest", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *RULES],
         )
 
 
@@ -152,11 +152,12 @@ def admitted_steps(holdout: DataFrame, n_steps: int, alpha: float, delta: float)
 def choose_cutoffs(labelled: DataFrame, alpha: float, delta: float, order_share: float = 0.2, order_rows: int = 20_000) -> tuple[list[tuple[int, float]], DataFrame]:
     """The path, and the steps of it that each stratum may use.
 
-    ``labelled`` (doc_id, stratum, quality and the features) has the labelled documents
-    that pass the base rule. A share ``order_share`` of them, chosen by hash and at most
-    about ``order_rows``, orders the path; all others test it.
+    ``labelled`` (digest, stratum, quality and the features) has the labelled texts that
+    pass the base rule, each once: copies of a text are one trial, whichever documents they
+    are, as they say nothing new. A share ``order_share`` of the texts, chosen by hash and at
+    most about ``order_rows``, orders the path; all others test it.
     """
-    slot = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1 << 20))
+    slot = F.pmod(F.xxhash64("digest", F.lit(13)), F.lit(1 << 20))
     n = labelled.count()
     bound = int(min(order_share, order_rows / max(n, 1)) * (1 << 20))
     sample = labelled.where(slot < bound).select("quality", *RULES).toPandas()  # order_rows or so
@@ -172,23 +173,25 @@ def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha
 
     ``docs`` (doc_id, text and the stratum column; further columns are ignored),
     ``labels`` (doc_id, quality). At confidence 1 - delta, over all strata together,
-    no stratum loses more than a share ``alpha`` of its good documents to the rules.
+    no stratum loses more than a share ``alpha`` of its good texts to the rules. Copies of a
+    text, repeated rows included, are one trial in a stratum, good if any of them is labelled so.
 
     A null or empty text has no words and fails the base rule. A null stratum is the
     stratum "". A stratum with too few labelled good documents to prove any step of
-    the path (217 for the first of four, with none of them lost) keeps whatever passes
+    the path (217 distinct ones for the first of four strata, with none of them lost) keeps whatever passes
     the base rule; so do all if no cutoff gains anything or there are no labels. Repeated
     rows are measured each on its own; repeated labels of a document count once, as good
     if any says so; a null doc_id has no label. ``broken_rules`` names the rules that
     reject, and ``steps`` is the number of steps of the path that the stratum uses.
     """
     kind = dict(docs.dtypes)["doc_id"]
-    base = docs.select(F.col("doc_id").alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), F.col("text").alias("text"))
+    base = docs.select(F.col("doc_id").alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), F.col("text").alias("text"), F.md5("text").alias("digest"))
     measures = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-    found = saved(base.mapInArrow(_measure, f"doc_id {kind}, stratum string, {measures}, {', '.join(f'{r} double' for r in RULES)}"))
+    found = saved(base.mapInArrow(_measure, f"doc_id {kind}, stratum string, digest string, {measures}, {', '.join(f'{r} double' for r in RULES)}"))
     found = found.withColumn("base_failed", F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words"))
     known = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
-    labelled = saved(found.where(~F.col("base_failed")).join(known, "doc_id").select("doc_id", "stratum", "quality", *RULES))
+    trials = found.where(~F.col("base_failed")).join(known, "doc_id").groupBy("stratum", "digest")  # equal texts have equal features
+    labelled = saved(trials.agg(F.max("quality").alias("quality"), *(F.max(r).alias(r) for r in RULES)))
     path, admitted = choose_cutoffs(labelled, alpha, delta)
     judged = found.join(admitted.select("stratum", "steps"), "stratum", "left").withColumn("steps", F.coalesce("steps", F.lit(0)))
     broken = F.array_compact(F.array(*(

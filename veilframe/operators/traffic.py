@@ -44,8 +44,9 @@ def by_prefix(rows: DataFrame, probe: Column, table: DataFrame, broadcast_rows:
 
     One join on equality for each length in use, of which there are few; no row is numbered and none leaves its
     task where the table has at most ``broadcast_rows`` prefixes. A larger one is left to Spark's own choice of join.
+    Entries with a null prefix match nothing.
     """
-    best = table.groupBy("prefix").agg(F.min(F.struct("rank", "value")).alias("hit")).withColumn("size", F.length("prefix"))
+    best = table.where("prefix is not null").groupBy("prefix").agg(F.min(F.struct("rank", "value")).alias("hit")).withColumn("size", F.length("prefix"))
     sizes = {r["size"]: r["n"] for r in best.groupBy("size").agg(F.count("*").alias("n")).collect()}  # a row for each length
     small = sum(sizes.values()) <= broadcast_rows
     own, out = rows.columns, rows.withColumn("__probe", probe)
@@ -130,12 +131,13 @@ def sliding_rates(requests: DataFrame, seconds: int = 60) -> DataFrame:
 
 def _trailing(requests: DataFrame, by: tuple[str, ...], name: str, seconds: int) -> DataFrame:
     """Adds the number of rows of the same keys in the trailing window. One key may hold most rows, so its rows are cut
-    into slots of a window's length: a row's window is its own slot up to it and the slot before from its far end on."""
+    into slots of a window's length: a row's window is its own slot up to it and the slot before from its far end on.
+    Rows with a null time have each other in their window, and no others."""
     width = seconds * 1_000_000
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     rows = requests.withColumn("__at", at).withColumn("__slot", F.floor(at / width))
     # every row is also a mark in the next slot, where it counts while it is no older than the window
-    marks = rows.select(*by, (F.col("__slot") + 1).alias("__slot"), "__at", F.lit(False).alias("__own"))
+    marks = rows.where("__at is not null").select(*by, (F.col("__slot") + 1).alias("__slot"), "__at", F.lit(False).alias("__own"))
     both = rows.withColumn("__own", F.lit(True)).unionByName(marks, allowMissingColumns=True)
     window = W.partitionBy(*by, "__slot").orderBy("__at").rangeBetween(-width, 0)
     return both.withColumn(name, F.count("*").over(window)).where("__own").drop("__own", "__slot", "__at")
@@ -152,11 +154,13 @@ def breaches(rates: DataFrame, limits: DataFrame) -> DataFrame:
 def snapshot(requests: DataFrame, now: Column, seconds: int = 60, top: int = 5) -> DataFrame:
     """category, hits, top_clients (name and hits of the busiest) in the window that ends now."""
     inside = requests.where((F.col("ts").cast("timestamp") >= now - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))) & (F.col("ts").cast("timestamp") <= now))
-    per = inside.groupBy("category", "client").agg(F.count("*").alias("hits"))
-    ranked = per.withColumn("r", F.row_number().over(W.partitionBy("category").orderBy(F.desc("hits"), "client")))
-    return ranked.groupBy("category").agg(
-        F.sum("hits").alias("hits"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("r") <= top, F.struct("r", "client", "hits")))), lambda x: F.concat_ws("=", x["client"], x["hits"])), ",").alias("top_clients"),
-    )
+    per = inside.groupBy("category", "client").agg(F.count("*").alias("hits")).withColumn("slot", F.pmod(F.xxhash64("client"), F.lit(64)))
+    # clients of a category are ranked slot by slot, then the best of each slot
+    first = per.withColumn("r", F.row_number().over(W.partitionBy("category", "slot").orderBy(F.desc("hits"), "client")))
+    best = F.collect_list(F.when(F.col("r") <= top, F.struct((-F.col("hits")).alias("less"), "client", "hits")))
+    slots = first.groupBy("category", "slot").agg(F.sum("hits").alias("hits"), best.alias("best"))
+    ranked = slots.groupBy("category").agg(F.sum("hits").alias("hits"), F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, top).alias("best"))
+    return ranked.select("category", "hits", F.array_join(F.transform("best", lambda x: F.concat_ws("=", x["client"], x["hits"])), ",").alias("top_clients"))
 
 
 @dataclass(frozen=True)

@@ -225,3 +225,9 @@ def client_blocks(requests: DataFrame, per_client: int, window_seconds: int = 60
     if not allowlist:
         return judged
     return judged.unionByName(requests.where(listed).select("client", "ts", F.lit(True).alias("allowed"), F.lit("on the allowlist").alias("reason")))
+
+
+def client_sessions(events: DataFrame, key: str, gap: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:
+    """key, start, end, n of the sessions of a stream (key, ts), each once closed; end is the last event. Events more than ``delay`` late are dropped."""
+    closed = events.withWatermark("ts", delay).groupBy(F.session_window("ts", gap), key).agg(F.max("ts").alias("end"), F.count("*").alias("n"))
+    return closed.select(key, F.col("session_window.start").alias("start"), "end", "n")

@@ -154,3 +154,12 @@ def test_audit_over_several_batches(spark, tmp_path):
     want = simulated([(i, c, k, base + t) for i, c, k, t in rows], profile, {"10.9.0.1"})
     assert got == want
     assert {a for r in want.values() if r[3] for a in r[3].split(",")} == {auditor.UNBLOCKED, auditor.NEWLY_BLOCKED, auditor.NEW_ANOMALY, auditor.CLEARED}
+
+
+def test_cube_tells_its_nulls_from_the_data(spark):
+    from veilframe.operators import reports
+
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", None, 2.0), (None, 1, 4.0)], "x string, y int, v double")
+    got = {(r.level, r.x, r.y): r.s for r in reports.cube(df, ["x", "y"], {"s": F.sum("v")}).collect()}
+    assert got == {(0, "a", 1): 1.0, (0, "a", None): 2.0, (0, None, 1): 4.0, (1, "a", None): 3.0, (1, None, None): 4.0, (2, None, 1): 5.0, (2, None, None): 2.0, (3, None, None): 7.0}
+    assert reports.cube(df.limit(0), ["x", "y"], {"n": F.count("*")}).where("level = 0").count() == 0

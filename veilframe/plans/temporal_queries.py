@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.operators import temporal
+from veilframe.operators import reports, temporal
 from veilframe.operators.traffic import Category, Profile
 from veilframe.plans.registry import query, table
 from veilframe.plans.relational_queries import _folder
@@ -82,3 +82,31 @@ def traffic_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = auditor.audit(own.readStream.schema(rows.schema).parquet(f"{folder}/in"), AUDIT)
     decided.writeStream.option("checkpointLocation", f"{folder}/checkpoint").format("parquet").option("path", f"{folder}/out").outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(decided.schema).parquet(f"{folder}/out")
+
+
+@query("""WITH r AS (SELECT event_id AS run, event_type AS pipeline, ts AS ended_at FROM events WHERE event_id % 2 = 0), v AS (SELECT event_id - 1 AS run, ts + INTERVAL 5 MINUTE AS received_at, event_id % 3 <> 0 AS proceed FROM events WHERE event_id % 2 = 1 AND event_id % 5 <> 0)
+SELECT r.run, r.pipeline, v.received_at, CASE WHEN v.run IS NULL THEN 'silent' WHEN v.proceed THEN 'proceed' ELSE 'stop' END AS state FROM r LEFT JOIN v ON v.run = r.run AND v.received_at >= r.ended_at AND v.received_at <= r.ended_at + INTERVAL 10 MINUTE""")
+def stream_silent_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streams of runs and of verdicts joined within a grace time; a run without a verdict is silent once its grace is over."""
+    from veilframe.streaming import consumers
+
+    folder = _folder(spark)
+    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    runs = e.where("event_id % 2 = 0").select(F.col("event_id").alias("run"), F.col("event_type").alias("pipeline"), F.col("ts").alias("ended_at"))
+    verdicts = e.where("event_id % 2 = 1 AND event_id % 5 <> 0").select((F.col("event_id") - 1).alias("run"), (F.col("ts") + F.expr("INTERVAL 5 MINUTES")).alias("received_at"), (F.col("event_id") % 3 != 0).alias("proceed"))
+    later = e.agg((F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("at"))
+    runs.unionByName(later.select(F.lit(-1).cast("long").alias("run"), F.lit("").alias("pipeline"), F.col("at").alias("ended_at"))).write.parquet(f"{folder}/runs")
+    verdicts.unionByName(later.select(F.lit(-2).cast("long").alias("run"), F.col("at").alias("received_at"), F.lit(True).alias("proceed"))).write.parquet(f"{folder}/verdicts")
+    streams = [spark.readStream.schema(df.schema).parquet(f"{folder}/{n}") for df, n in ((runs, "runs"), (verdicts, "verdicts"))]
+    joined = consumers.silent_runs(*streams, "10 minutes")
+    joined.writeStream.option("checkpointLocation", f"{folder}/checkpoint").format("parquet").option("path", f"{folder}/out").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.schema(joined.schema).parquet(f"{folder}/out").where("run >= 0")
+    return out.withColumn("received_at", F.col("received_at").cast("timestamp_ntz"))
+
+
+@query("""SELECT CAST(grouping(event_type) * 2 + grouping(hour) AS INTEGER) AS level, event_type, CAST(hour AS INTEGER) AS hour, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS amount
+FROM (SELECT event_type, hour(ts) AS hour, value FROM events) GROUP BY CUBE (event_type, hour)""")
+def chart_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of a report's counts by category, by hour, by both and in total, in one pass over the rows."""
+    e = table(spark, sf_dir, "events").select("event_type", F.hour("ts").alias("hour"), "value")
+    return reports.cube(e, ["event_type", "hour"], {"n": F.count("*"), "amount": F.sum(F.col("value").cast("decimal(18,2)")).cast("double")})

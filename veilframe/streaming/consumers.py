@@ -231,3 +231,18 @@ def client_sessions(events: DataFrame, key: str, gap: str = "30 minutes", delay:
     """key, start, end, n of the sessions of a stream (key, ts), each once closed; end is the last event. Events more than ``delay`` late are dropped."""
     closed = events.withWatermark("ts", delay).groupBy(F.session_window("ts", gap), key).agg(F.max("ts").alias("end"), F.count("*").alias("n"))
     return closed.select(key, F.col("session_window.start").alias("start"), "end", "n")
+
+
+def silent_runs(runs: DataFrame, verdicts: DataFrame, grace: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:
+    """run, pipeline, received_at, state of every run of a stream: proceed or stop by a verdict that comes within the grace time after its end, else silent.
+
+    ``runs`` (run, pipeline, ended_at), ``verdicts`` (run, received_at, proceed). State is kept
+    for as long as a match can still come: a run is put out as silent once the watermark of
+    both streams is past its grace time. Several verdicts in time give a row each; rows more
+    than ``delay`` late are dropped, and a null run matches nothing.
+    """
+    r = runs.withWatermark("ended_at", delay)
+    v = verdicts.select(F.col("run").alias("__run"), "received_at", "proceed").withWatermark("received_at", delay)
+    within = F.expr(f"__run = run AND received_at >= ended_at AND received_at <= ended_at + INTERVAL {grace}")
+    state = F.when(F.col("__run").isNull(), "silent").when(F.col("proceed"), "proceed").otherwise("stop")
+    return r.join(v, within, "left_outer").select("run", "pipeline", "received_at", state.alias("state"))

@@ -155,3 +155,9 @@ def test_further_keywords(spark):
              '{"b": [0], "c": 1}': ["b"], '{"b": [1, 1, 1], "c": 1}': ["b"], '{"b": [1], "c": 1, "f": 1.0, "g": {"z": 0}}': [], '{"b": [1], "c": 1, "f": true}': ["f"], '{"b": [1], "c": 1, "g": {}}': ["g"], '{"b": [1], "c": 1, "h": null}': ["h"]}
     rows = spark.createDataFrame([(t,) for t in cases], "value string")
     assert {r.value: r.bad for r in Contracts({"s.json": schema}).plan("s.json").onto(rows, "value", "bad").collect()} == cases
+
+
+def test_what_breaks_readers_of_an_older_schema():
+    old = {"required": ["a", "b"], "properties": {"a": {"type": "string"}, "b": {"enum": [1, 2]}, "c": {}, "d": {"properties": {"e": {}}}, "f": {"const": 1}, "g": {"type": "string"}}}
+    new = {"required": ["a"], "properties": {"a": {"type": "integer"}, "b": {"enum": [1]}, "d": {"properties": {}}, "f": {"const": 2}, "g": {"type": ["string", "null"]}, "h": {}}}
+    assert sorted(messages.incompatible(old, new)) == sorted(["/b: no longer required", "/a: type string became integer", "/b: enum values removed", "/c: removed", "/d/e: removed", "/f: const changed"])

@@ -163,3 +163,12 @@ def test_cube_tells_its_nulls_from_the_data(spark):
     got = {(r.level, r.x, r.y): r.s for r in reports.cube(df, ["x", "y"], {"s": F.sum("v")}).collect()}
     assert got == {(0, "a", 1): 1.0, (0, "a", None): 2.0, (0, None, 1): 4.0, (1, "a", None): 3.0, (1, None, None): 4.0, (2, None, 1): 5.0, (2, None, None): 2.0, (3, None, None): 7.0}
     assert reports.cube(df.limit(0), ["x", "y"], {"n": F.count("*")}).where("level = 0").count() == 0
+
+
+def test_synthetic_trips_are_the_same_on_any_number_of_tasks(spark):
+    from veilframe.sources import tables
+
+    for parts in (1, 7):
+        t = tables.synthetic_trips(spark, 1000, "2026-01-01").repartition(parts)
+        got = t.agg(F.count("*"), F.sum("bike_id"), F.sum("start_station_id"), F.sum("duration_minutes"), F.min("trip_id"), F.max("trip_id"), F.count_distinct("subscriber_type")).first()
+        assert tuple(got) == (1000, 5467961, 2538881, 18581, "T001090743992", "T998279927158", 4)

@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.functions import ids
+from veilframe.functions import cards, ids
 from veilframe.operators import classify, contracts, messages, reports, traffic, verdicts, warehouse
 from veilframe.plans.registry import query, table
 from veilframe.plans.scalar_queries import DEMO_KEYS
@@ -431,14 +431,14 @@ def stream_tap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/log").select(F.col("offset").alias("event_id"), "valid")
 
 
-@query("""SELECT CAST(n AS BIGINT) AS parts, 1000 AS trips, 5467961 AS bikes, 2538881 AS stations, 18581 AS minutes, 'T001090743992' AS first_trip, 'T998279927158' AS last_trip, 4 AS kinds FROM (VALUES (1), (7)) AS t(n)""", "synthetic_source_is_stable")
+@query("""SELECT o_orderkey, 'O' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS order_id, 16 AS digits, true AS valid, true AS same FROM orders""", "synthetic_source_is_stable")
 def _synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the source gives for one seed, on one task and on seven, against fixed sums."""
-    def sums(parts: int) -> DataFrame:
-        trips = tables.synthetic_trips(spark, 1000, "2026-01-01").repartition(parts)
-        return trips.agg(
-            F.lit(parts).cast("long").alias("parts"), F.count("*").alias("trips"), F.sum("bike_id").alias("bikes"), F.sum("start_station_id").alias("stations"), F.sum("duration_minutes").alias("minutes"),
-            F.min("trip_id").alias("first_trip"), F.max("trip_id").alias("last_trip"), F.count_distinct("subscriber_type").alias("kinds"),
-        )
-
-    return sums(1).unionByName(sums(7))
+    """A synthetic order for each order of the table, by its key: its card number is valid, and it is the same however the source is cut into tasks."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    n = (orders.agg(F.max("o_orderkey")).first()[0] or 0) + 1
+    made = tables.synthetic_orders(spark, n)
+    again = tables.synthetic_orders(spark, n).repartition(7).select("order_id", F.struct("customer_name", "customer_email", "card_info", "sale_price").alias("again"))
+    key = F.concat(F.lit("O"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0"))
+    found = orders.withColumn("order_id", key).join(made, "order_id").join(again, "order_id")
+    same = F.struct("customer_name", "customer_email", "card_info", "sale_price") == F.col("again")
+    return found.select("o_orderkey", "order_id", F.length("card_info").alias("digits"), cards.is_card_number(F.col("card_info")).alias("valid"), same.alias("same"))

@@ -69,14 +69,18 @@ def policy_masked_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return policies.masked_view(table(spark, sf_dir, "customer"), policies.resolve(documents, "analytics", "customer", policies.ANALYSTS))
 
 
-@query("SELECT 'c_mktsegment' AS \"column\", 'MASK_SHOW_FIRST_4' AS mask UNION ALL SELECT 'c_name', 'MASK_HASH'")
+@query("""SELECT 'u' || user_id AS "column", arg_max('MASK_' || upper(event_type), event_id) AS mask FROM events WHERE event_id % 4 <> 0 AND event_id % 5 <> 1 GROUP BY 1""")
 def policy_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import json
-
-    off = policies.column_policy("analytics", "customer", "c_nationkey", "MASK_NULL") | {"isEnabled": False}
-    docs = [policies.column_policy("analytics", "customer", c, m) for c, m in (("c_name", "MASK"), ("c_mktsegment", "MASK_SHOW_FIRST_4"), ("c_name", "MASK_HASH"))]
-    rows = [(i, json.dumps(d)) for i, d in enumerate([*docs, off, policies.column_policy("analytics", "supplier", "s_name", "MASK")])]
-    return policies.resolve_frame(spark.createDataFrame(rows, "position int, doc string"), "analytics", "customer", policies.ANALYSTS)
+    """A store with a policy document for each event: some are off, some are of another table, and of the rest a column's last one holds."""
+    e = table(spark, sf_dir, "events")
+    masked = lambda group, mask: F.struct(F.array(F.lit(group)).alias("groups"), F.struct(mask.alias("dataMaskType")).alias("dataMaskInfo"))
+    of = lambda value: F.struct(F.array(value).alias("values"))
+    doc = F.struct(
+        F.concat(F.lit("p"), F.col("event_id")).alias("name"), (F.col("event_id") % 4 != 0).alias("isEnabled"), F.lit(policies.DATA_MASK).alias("policyType"),
+        F.struct(of(F.lit("analytics")).alias("database"), of(F.when(F.col("event_id") % 5 == 1, "supplier").otherwise("customer")).alias("table"), of(F.concat(F.lit("u"), F.col("user_id"))).alias("column")).alias("resources"),
+        F.array(masked(policies.ANALYSTS, F.concat(F.lit("MASK_"), F.upper("event_type"))), masked(policies.STEWARDS, F.lit("MASK_NONE"))).alias("dataMaskPolicyItems"),
+    )
+    return policies.resolve_frame(e.select(F.col("event_id").alias("position"), F.to_json(doc).alias("doc")), "analytics", "customer", policies.ANALYSTS)
 
 
 def _hmac_sql(field: str, column: str) -> str:

@@ -22,10 +22,12 @@ def rejoin_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("key", F.element_at("flat", "c_mktsegment").alias("segment"), F.element_at("encrypted", "c_name_encrypted").startswith("enc:v1:").alias("sealed"))
 
 
-@query("SELECT 'c_phone' AS name, 'direct_identifier' AS sensitivity")
+@query("""SELECT 'p' || p_partkey AS name, CASE p_size % 3 WHEN 1 THEN 'quasi_identifier' ELSE 'direct_identifier' END AS sensitivity FROM part WHERE p_size % 3 <> 0 AND p_partkey % 4 <> 0""")
 def missing_policy_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = spark.createDataFrame([("c_name", "quasi_identifier"), ("c_phone", "direct_identifier"), ("c_acctbal", "public")], "name string, sensitivity string")
-    return policies.missing_policies(columns, spark.createDataFrame([("c_name", "MASK_HASH")], "column string, mask string"))
+    """A catalog with a column for each part, of which every fourth has a policy."""
+    p = table(spark, sf_dir, "part").withColumn("name", F.concat(F.lit("p"), F.col("p_partkey")))
+    columns = p.select("name", F.when(F.col("p_size") % 3 == 0, "public").when(F.col("p_size") % 3 == 1, "quasi_identifier").otherwise("direct_identifier").alias("sensitivity"))
+    return policies.missing_policies(columns, p.where("p_partkey % 4 = 0").select(F.col("name").alias("column"), F.lit("MASK_HASH").alias("mask")))
 
 
 @query("""SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'inserted,updated' WHEN 1 THEN 'rows' ELSE 'pdf' END AS keys FROM events""")
@@ -85,11 +87,22 @@ def flat_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(c,) for c in protect.flat_leaks(columns, ["c_name"])], "name string")
 
 
-@query("""SELECT * FROM (VALUES ('/a: type string became integer'), ('/b: enum values removed'), ('/c: removed'), ('/d/e: removed'), (': no longer required'), ('/f: const changed')) AS t(broken)""")
+def inferred_schema(df: DataFrame, enums: tuple[str, ...] = ()) -> dict:
+    """The JSON Schema of a table's rows: types, required columns, and the values of the columns ``enums``, which have few."""
+    kinds = {"bigint": "integer", "int": "integer", "double": "number", "boolean": "boolean"}
+    out = {c: {"type": kinds.get(k, "string")} for c, k in df.dtypes}
+    for c in enums:
+        out[c]["enum"] = sorted(r[0] for r in df.select(c).distinct().collect())
+    return {"type": "object", "required": df.columns, "properties": out}
+
+
+@query("""SELECT unnest(['/props: no longer required', '/props: removed', '/user_id: type integer became string']) AS broken UNION ALL
+SELECT '/event_type: enum values removed' FROM (SELECT count(DISTINCT event_type) AS n, count(DISTINCT CASE WHEN value > 10 AND event_type <> 'view' THEN event_type END) AS later FROM events) WHERE n > later""")
 def incompatible_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old = {"required": ["a", "b"], "properties": {"a": {"type": "string"}, "b": {"enum": [1, 2]}, "c": {}, "d": {"properties": {"e": {}}}, "f": {"const": 1}, "g": {"type": "string"}}}
-    new = {"required": ["a"], "properties": {"a": {"type": "integer"}, "b": {"enum": [1]}, "d": {"properties": {}}, "f": {"const": 2}, "g": {"type": ["string", "null"]}, "h": {}}}
-    return spark.createDataFrame([(x.replace("/b: no", ": no"),) for x in messages.incompatible(old, new)], "broken string")
+    """Schemas inferred from events and from a later version of them: a column less, a type changed, fewer values."""
+    e = table(spark, sf_dir, "events")
+    later = e.where("value > 10 AND event_type <> 'view'").drop("props").withColumn("user_id", F.col("user_id").cast("string"))
+    return spark.createDataFrame([(x,) for x in messages.incompatible(inferred_schema(e, ("event_type",)), inferred_schema(later, ("event_type",)))], "broken string")
 
 
 @query("""SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'not_json' WHEN event_id % 5 = 1 THEN 'inserted' WHEN event_id % 5 = 2 THEN 'inserted,updated' WHEN event_id % 5 = 3 THEN 'stage' ELSE '' END AS problems FROM events""")

@@ -67,7 +67,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_tidy
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that are not predicted toxic. A null or empty text has the base rate; repeated rows stay or go alike."""
+    """Rows that are not predicted toxic. A null or empty text scores the model's constant, which is low; repeated rows stay or go alike."""
     numbered, row = _numbered(docs)
     return _kept(numbered, row, toxicity_channel.score_toxicity(numbered, table(spark, sf_dir, "labels"), carry=(row,)), "predicted = 0")
 

@@ -285,7 +285,7 @@ def score_toxicity(
     fitted on at most ``sample_rows`` labelled rows that are not held out, chosen by
     hash; it has at most ``max_features`` word beginnings, those that tell most.
 
-    A null or empty text has no word and scores the base rate of the sample; a null
+    A null or empty text has no word and scores the model's constant, which is below the sample's share of toxic rows; a null
     doc_id counts as not held out and is never learned from. Without labels of
     both kinds every score is 0. A token of any length takes time in proportion to it. Repeated rows are scored alike, each on its own.
     """

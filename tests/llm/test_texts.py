@@ -414,3 +414,17 @@ def test_copies_that_share_an_id_are_spread(spark, tokenizer):
     pieces = curve_packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), PATH, partitions=8)
     per_task = pieces.groupBy(F.spark_partition_id()).count().toPandas()["count"]
     assert len(per_task) == 8 and per_task.max() < 2 * per_task.mean() and pieces.where("start = 0").count() == len(rows)
+
+
+def test_shares_join_like_a_plain_join_and_part_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from veilframe.llm.common import with_shares
+
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 4 < 3, 0).otherwise(F.col("id") % 50).cast("long").alias("key"))
+    facts = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("most")).where("key < 40")
+    found = with_shares(rows, facts, "key", heavy=300)
+    plain = rows.join(facts.drop("n"), "key").select(*found.columns)
+    assert sorted(found.collect()) == sorted(plain.collect())
+    assert found.where("key = 0").select(F.spark_partition_id()).distinct().count() > 1
+    assert with_shares(rows.limit(0), facts, "key").count() == with_shares(rows, facts.limit(0), "key").count() == 0

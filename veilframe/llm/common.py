@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -90,6 +90,29 @@ def with_few(rows: DataFrame, facts: DataFrame, *keys: str, heavy: int = 1000, b
     return rows.join(F.broadcast(large), list(keys)).unionByName(rows.join(F.broadcast(large.select(*keys)), list(keys), "left_anti").join(small, list(keys)))
 
 
+def digest(*texts: Column) -> Column:
+    """16 bytes that name the texts, in this order; texts with other bounds between them have another digest."""
+    return F.unhex(F.md5(F.concat(*(F.md5(t.cast("binary")) for t in texts))))
+
+
+def with_shares(rows: DataFrame, facts: DataFrame, key: str, heavy: int = 1000, broadcast_rows: int = 50_000) -> DataFrame:
+    """``rows`` joined to ``facts`` by ``key``, a number or a digest; a fact says in n how many rows it meets at most, and may be of any size.
+
+    Rows of a frequent key are dealt to shares by a hash of their other columns, and its fact is copied once for each
+    share, so no key is one task's. Only such keys and their numbers of shares are broadcast, ``broadcast_rows`` of
+    them at most and 24 bytes each.
+    """
+    facts = saved(facts)
+    many = max(heavy, -(-(facts.agg(F.sum("n")).first()[0] or 0) // broadcast_rows))
+    shares = F.ceil(F.col("n") / many).cast("int")
+    large = facts.where(F.col("n") > many).select(key, shares.alias("__shares"))
+    rest = [c for c in rows.columns if c != key]
+    dealt = F.coalesce(F.pmod(F.xxhash64(*rest), F.col("__shares")), F.lit(0)).cast("int")
+    copies = facts.withColumn("__share", F.explode(F.sequence(F.lit(0), F.greatest(shares, F.lit(1)) - 1))).drop("n")
+    marked = rows.join(F.broadcast(large), key, "left").select(*rows.columns, dealt.alias("__share"))
+    return marked.join(copies, [key, "__share"]).drop("__share")
+
+
 def _with_least(pairs: DataFrame, key: str, value: str, heavy: int, rows: int) -> DataFrame:
     """``pairs``, of at most ``rows`` rows, with m, the least ``value`` of each ``key``.
 

@@ -417,8 +417,6 @@ def test_copies_that_share_an_id_are_spread(spark, tokenizer):
 
 
 def test_shares_join_like_a_plain_join_and_part_a_hot_key(spark):
-    from pyspark.sql import functions as F
-
     from veilframe.llm.common import with_shares
 
     rows = spark.range(4000).select("id", F.when(F.col("id") % 4 < 3, 0).otherwise(F.col("id") % 50).cast("long").alias("key"))

@@ -89,3 +89,31 @@ def test_a_stream_waits_for_gaps_and_goes_on_from_its_checkpoint(spark, tmp_path
     assert drain() == list(range(70)) == drain()
     message_log.append(messages(spark, range(4), "new"), path, 10)  # a topic that comes later begins at 0
     assert drain() == sorted([*range(70), *range(4)])
+
+
+def test_a_write_counts_itself_in_one_job(spark, tmp_path):
+    from veilframe.operators import observed
+
+    df = spark.range(0, 1000, 1, 5).withColumn("odd", F.col("id") % 2)
+    spark.sparkContext.setJobGroup("observed", "")
+    try:
+        found = observed.write(df, str(tmp_path / "a"), drop=("odd",), odd=F.sum("odd"), most=F.max("id"))
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("observed")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found == {"rows": 1000, "odd": 500, "most": 999} and len(jobs) == 1
+    assert spark.read.parquet(str(tmp_path / "a")).columns == ["id"]
+    assert observed.write(df.limit(0), str(tmp_path / "b"), most=F.max("id"))["rows"] == 0
+    assert observed.write(df.where("id < 0"), str(tmp_path / "c"), most=F.max("id")) == {"rows": 0, "most": None}
+    observed.move(spark, str(tmp_path / "a"), str(tmp_path / "c"))
+    assert spark.read.parquet(str(tmp_path / "c")).count() == 1000 and not (tmp_path / "a").exists()
+
+
+def test_a_run_refuses_too_many_rows_and_none(spark, tmp_path):
+    from veilframe.plans import run
+
+    for rows, message in ((3, "the cap is 2"), (0, "no rows")):
+        env = run.RunEnv(spark, datetime(2026, 1, 1), str(tmp_path / f"out{rows}"), "d", row_limit=2, frame=spark.range(rows))
+        _, failures, _ = run.run(env, verdict=False)
+        assert [f["stage"] for f in failures] == ["extract"] and message in failures[0]["message"]
+        assert not list((tmp_path / f"out{rows}").glob("landed/*"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from veilframe.operators.classify import SPARK_TYPE, Manifest
@@ -111,8 +111,9 @@ class VersionedTable:
         old = self.read()
         if old is None:
             fresh = last_per_key(new, key, order or [F.col(c) for c in sorted(set(new.columns) - set(key))])
-            self.publish(fresh)
-            return {"inserted": self.read().count(), "updated": 0}
+            seen = Observation()
+            self.publish(fresh.observe(seen, F.count(F.lit(1)).alias("rows")))
+            return {"inserted": seen.get["rows"], "updated": 0}
         counts = upsert_counts(old, new, key).first().asDict()
         self.publish(upsert(old, new, key, order))
         return counts

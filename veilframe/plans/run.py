@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from veilframe import session
 from veilframe.functions import crypto
 from veilframe.functions.text import safe_name
-from veilframe.operators import classify, contracts, messages, policies, protect, reports, verdicts, warehouse
-from veilframe.sources.tables import not_empty, read_csv
+from veilframe.operators import classify, contracts, messages, observed, policies, protect, reports, verdicts, warehouse
+from veilframe.sources.tables import SourceError, read_csv
 
 MESSAGE_LIMIT = 2000
 log = logging.getLogger(__name__)
@@ -84,11 +84,15 @@ def failure(stage: str, e: BaseException) -> dict:
 
 def extract(env: RunEnv) -> dict:
     raw = env.frame if env.frame is not None else read_csv(env.spark, env.csv, env.row_limit)
-    rows = protect.as_text(not_empty(raw))
-    rows.write.mode("overwrite").parquet(env.artifact("landed"))
+    n = observed.write(protect.as_text(raw), env.artifact("landing"))["rows"]
+    if not n:
+        raise SourceError("the source gave no rows")
+    if env.row_limit is not None and n > env.row_limit:
+        raise SourceError(f"the source gave {n} rows; the cap is {env.row_limit}")
+    observed.move(env.spark, env.artifact("landing"), env.artifact("landed"))
     rows = env.read("landed")
     overrides = json.loads(env.settings("contract").read_text()) if env.settings("contract").exists() else {}
-    manifest = classify.infer(rows, env.dataset, overrides)
+    manifest = classify.infer(rows, env.dataset, overrides, total=n)
     env.settings("manifest").parent.mkdir(parents=True, exist_ok=True)
     manifest.save(env.settings("manifest"))
     contracts.ensure(env.spark, manifest, env.settings("contract"))
@@ -104,19 +108,19 @@ def _landed(env: RunEnv) -> DataFrame:
 
 
 def card_split(env: RunEnv) -> dict:
-    manifest = env.manifest()
+    manifest, rows = env.manifest(), 0
     if manifest.cards:
         table = protect.card_table(_landed(env), manifest, crypto.Encryptor(env.keys), env.logical_date)
-        table.write.mode("overwrite").parquet(env.artifact("card_info"))
+        rows = observed.write(table, env.artifact("card_info"))["rows"]
         protect.refuse_if_any(protect.card_leaks(env.read("card_info")), "card table")
-    return {"rows": env.read("card_info").count() if manifest.cards else 0, "cards": len(manifest.cards), "dataset": env.dataset}
+    return {"rows": rows, "cards": len(manifest.cards), "dataset": env.dataset}
 
 
 def encrypt(env: RunEnv) -> dict:
     """Write to staging, read back, check against the source, then move into place."""
     manifest = env.manifest()
     source = _landed(env)
-    protect.encrypt_batch(source, manifest, crypto.Encryptor(env.keys), env.logical_date).write.mode("overwrite").parquet(env.artifact("staging"))
+    rows = observed.write(protect.encrypt_batch(source, manifest, crypto.Encryptor(env.keys), env.logical_date), env.artifact("staging"))["rows"]
     staged = env.read("staging")
     secret = manifest.names(sensitive=True)
     if secret:
@@ -127,8 +131,8 @@ def encrypt(env: RunEnv) -> dict:
             source = crypto.Encryptor(env.keys).protect(source, {}, {key: key + protect.INDEX}, drop=False)
             key += protect.INDEX
         protect.refuse_if_any(protect.encryption_leaks(staged, source, key, secret), "encrypted artifact")
-    staged.write.mode("overwrite").parquet(env.artifact("encrypted"))
-    return {"rows": env.read("encrypted").count(), "engine": "spark", "spark_configured": True, "encrypted_columns": sorted(secret)}
+    observed.move(env.spark, env.artifact("staging"), env.artifact("encrypted"))
+    return {"rows": rows, "engine": "spark", "spark_configured": True, "encrypted_columns": sorted(secret)}
 
 
 def publish(env: RunEnv) -> dict:
@@ -140,11 +144,14 @@ def publish(env: RunEnv) -> dict:
         return messages.envelope(kind, env.dataset, slot, F.lit(env.trace_id), env.run_id, env.try_number, F.col(key), "pipeline", F.current_timestamp())
 
     out = messages.row_messages(rows, wrap, [c for c in rows.columns if c not in ("logical_date",)], manifest.names(sensitive=True))
-    bad = messages.judged(out, name="wrong").where("size(wrong) > 0")
-    if sample := bad.limit(1).collect():
-        raise ValueError(f"message breaks its contract: {sample[0]['wrong']}")
-    out.write.mode("overwrite").partitionBy("topic").parquet(env.artifact("messages"))
-    return {"rows": rows.count(), "topic_encrypted": messages.TOPICS[messages.ENCRYPTED], "topic_public": messages.TOPICS[messages.FLAT]}
+    judged = messages.judged(out, name="wrong")
+    wrong = F.max(F.when(F.size("wrong") > 0, F.to_json("wrong")))
+    secret = F.count_if(F.col("topic") == messages.TOPICS[messages.ENCRYPTED])
+    seen = observed.write(judged, env.artifact("unpublished"), "topic", drop=("wrong",), wrong=wrong, encrypted=secret)
+    if seen["wrong"]:
+        raise ValueError(f"message breaks its contract: {seen['wrong']}")
+    observed.move(env.spark, env.artifact("unpublished"), env.artifact("messages"))
+    return {"rows": seen["encrypted"], "topic_encrypted": messages.TOPICS[messages.ENCRYPTED], "topic_public": messages.TOPICS[messages.FLAT]}
 
 
 def mask(env: RunEnv) -> dict:
@@ -153,8 +160,7 @@ def mask(env: RunEnv) -> dict:
     provider = policies.choose_provider(policies.LocalPolicies(path))
     masks = provider.masks(env.database, env.dataset, policies.ANALYSTS)
     masked = protect.mask_batch(env.read("encrypted"), manifest, crypto.Decryptor(env.keys), masks, provider.name)
-    masked.write.mode("overwrite").parquet(env.artifact("masked"))
-    return {"rows": env.read("masked").count(), "masked_by": provider.name, "policies": len(generated), "policy_file": str(path)}
+    return {"rows": observed.write(masked, env.artifact("masked"))["rows"], "masked_by": provider.name, "policies": len(generated), "policy_file": str(path)}
 
 
 def hive_register(env: RunEnv) -> dict:

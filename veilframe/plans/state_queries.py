@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.operators import reconcile, states
+from veilframe.operators import observed, reconcile, states
 from veilframe.plans.registry import query, table
 from veilframe.plans.relational_queries import _folder
 
@@ -96,3 +96,25 @@ def stream_log_tap(spark: SparkSession, sf_dir: str) -> DataFrame:
         messages = message_log.read(spark, f"{folder}/log", stream=True, width="1000").drop("key")
         consumers.tap(messages, f"{folder}/tapped", f"{folder}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{folder}/tapped").select(F.col("topic").cast("string").alias("topic"), F.col("partition").cast("int").alias("partition"), "offset", "value", "valid")
+
+
+@query("""SELECT 'batch' AS how, count(*) AS "rows", CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS errors FROM events
+UNION ALL SELECT 'stream', count(*), CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) FROM events""")
+def observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts that a write and the batches of a stream report of themselves."""
+    from veilframe.streaming import progress
+
+    folder, e = _folder(spark), table(spark, sf_dir, "events").select("event_id", "event_type")
+    errors = F.count_if(F.col("event_type") == "error")
+    batch = observed.write(e.repartition(4), f"{folder}/in", errors=errors)
+    totals = progress.Totals("written")
+    spark.streams.addListener(totals)
+    try:
+        stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+        run = progress.observed(stream, "written", errors=errors).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+        run.awaitTermination()
+        streamed = totals.total(run.runId)
+    finally:
+        spark.streams.removeListener(totals)
+    found = [(how, d["rows"], d["errors"]) for how, d in (("batch", batch), ("stream", streamed))]
+    return spark.createDataFrame(found, "how string, rows long, errors long")

@@ -117,3 +117,51 @@ def test_a_run_refuses_too_many_rows_and_none(spark, tmp_path):
         _, failures, _ = run.run(env, verdict=False)
         assert [f["stage"] for f in failures] == ["extract"] and message in failures[0]["message"]
         assert not list((tmp_path / f"out{rows}").glob("landed/*"))
+
+
+def test_buckets_without_new_keys_are_left_alone(spark, tmp_path):
+    from veilframe.operators.warehouse import BucketedTable
+
+    table = BucketedTable(spark, str(tmp_path / "t"), ["k"], 8)
+    assert table.read() is None and table.upsert(spark.createDataFrame([], "k int, v string, at int")) == 0
+    first = spark.createDataFrame([(k, f"a{k}", 1) for k in [*range(50), None]], "k int, v string, at int")
+    assert table.upsert(first, [F.col("at")]) == 8
+    assert table.upsert(spark.createDataFrame([(7, "old", 2), (7, "new", 3)], first.schema), [F.col("at")]) == 1
+    assert table.upsert(spark.createDataFrame([(7, "newest", 4, True)], "k int, v string, at int, more boolean"), [F.col("at")]) == 1
+    got = {r.k: (r.v, r.more) for r in table.read().collect()}
+    assert got == {k: (f"a{k}", None) for k in [*range(50), None]} | {7: ("newest", True)}
+    assert sorted(table.versions().values()) == [1] * 7 + [3]
+
+
+def test_ledger_and_verdicts_by_bucket(spark, tmp_path):
+    from veilframe.operators.warehouse import BucketedTable
+    from veilframe.streaming import consumers
+
+    rows = spark.createDataFrame([(f"c{i % 2}", f"e{i % 30}", f"u{i % 5}", i) for i in range(90)], "consumer string, event_id string, idempotency_key string, offset long")
+    table = BucketedTable(spark, str(tmp_path / "v"), ["idempotency_key"], 4)
+    for part, low in enumerate((0, 45)):
+        rows.where((F.col("offset") >= low) & (F.col("offset") < low + 45)).write.mode("append").parquet(str(tmp_path / "in"))
+        s = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+        consumers.ledger(s, str(tmp_path / "l"), str(tmp_path / "lc"), 16).awaitTermination()
+        consumers.record_verdicts(s, table, str(tmp_path / "vc")).awaitTermination()
+    kept = spark.read.parquet(str(tmp_path / "l"))
+    assert kept.count() == kept.select("consumer", "event_id").distinct().count() == rows.select("consumer", "event_id").distinct().count()
+    assert {(r.idempotency_key, r.offset) for r in table.read().collect()} == {(f"u{i}", 85 + i) for i in range(5)}
+
+
+def test_charts_are_drawn(spark):
+    from xml.etree import ElementTree
+
+    from veilframe.operators import reports
+
+    rows = [(i, datetime(2026, 1, 1, i % 5), float(i), "<b>&" if i % 3 else None if i % 2 else "", "local") for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, at timestamp, amount double, kind string, masked_by string")
+    found = reports.build(df, "id")
+    page = reports.to_html(found, 'a "title" <x>')
+    assert "<b>" not in page and "<x>" not in page and "Masked by: local (60)" in page and page.count("<svg") == len(found["charts"]) == 3
+    for c, data in found["charts"]:
+        svg = ElementTree.fromstring(reports.to_svg(c, data))
+        widths = [float(r.get("width")) for r in svg.iter("rect")]
+        assert len(widths) == {"by_hour": 24, "histogram": 7, "categories": len(data)}[c.kind] and max(widths) == reports.WIDTH - reports.NAMES - 80
+    empty = reports.to_html(reports.build(df.limit(0), "id"), "none")
+    assert "<svg" not in empty

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from html import escape
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -154,6 +155,47 @@ def to_markdown(report: dict, title: str, window: dict | None = None) -> str:
     return "\n".join(lines) + "\n"
 
 
+BAR, GAP, WIDTH, NAMES = 22, 6, 720, 220  # of a drawn chart, in pixels
+
+
+def _named_rows(chart: Chart, rows: list[tuple]) -> list[tuple[str, int]]:
+    """What each bar is called, and its records; hours without records and empty buckets have a bar of their own."""
+    if chart.kind == "histogram":
+        n = {min(max(int(k) - 1, 0), BUCKETS): v for k, v in rows}
+        return [(name, n.get(i, 0)) for i, name in enumerate(bucket_labels(chart.low, chart.high))]
+    if chart.kind == "by_hour":
+        n = dict(rows)
+        return [(f"{h:02d}:00", n.get(h, 0)) for h in range(24)]
+    return [("(blank)" if k in (None, "") else str(k)[:BAR_LABEL], n) for k, n in rows]
+
+
+def to_svg(chart: Chart, rows: list[tuple]) -> str:
+    """A chart as bars side by side, longest as wide as the space allows, each with its name and number."""
+    bars = _named_rows(chart, rows)
+    most, room = max((n for _, n in bars), default=0) or 1, WIDTH - NAMES - 80
+    out = [f'<svg role="img" aria-label="{escape(chart.title, quote=True)}" width="{WIDTH}" height="{len(bars) * (BAR + GAP)}" font-family="sans-serif" font-size="12">']
+    for i, (name, n) in enumerate(bars):
+        top, long = i * (BAR + GAP), round(room * n / most, 1)
+        out += [
+            f'<text x="{NAMES - 8}" y="{top + 15}" text-anchor="end" fill="#333">{escape(name)}</text>',
+            f'<rect x="{NAMES}" y="{top}" width="{long}" height="{BAR}" fill="#3b6ea5"/>',
+            f'<text x="{NAMES + long + 6}" y="{top + 15}" fill="#333">{n:,}</text>',
+        ]
+    return "\n".join([*out, "</svg>"])
+
+
+def to_html(report: dict, title: str, window: dict | None = None) -> str:
+    """A report as one page that needs no other file: tiles, drawn charts, provenance."""
+    tile = '<div style="display:inline-block;margin:0 2em 1em 0"><div style="font-size:2em">{}</div><div style="color:#666">{}</div></div>'
+    lines = ["<!DOCTYPE html>", f'<html lang="en"><head><meta charset="utf-8"><title>{escape(title)}</title></head>', '<body style="font-family:sans-serif;margin:2em">']
+    lines += [f"<h1>{escape(title)}</h1>", f"<p>{escape(window_caption(window))}</p>", *(tile.format(escape(value), escape(name)) for value, name in report["tiles"])]
+    for c, rows in report["charts"]:
+        lines += [f"<h2>{escape(c.title)}</h2>", to_svg(c, rows)]
+    if report["provenance"]:
+        lines.append("<p>Masked by: " + ", ".join(f"{escape(str(k))} ({n:,})" for k, n in report["provenance"]) + "</p>")
+    return "\n".join([*lines, "</body></html>"]) + "\n"
+
+
 def cube(df: DataFrame, by: list[str], measures: dict[str, Column]) -> DataFrame:
     """level, the columns ``by`` and the measures for every subset of ``by``, in one pass that combines before its shuffle.
 

@@ -119,6 +119,43 @@ class VersionedTable:
         return counts
 
 
+class BucketedTable:
+    """A keyed table in buckets by the hash of its key, each with a version of its own: an upsert rewrites only the buckets that it has keys of.
+
+    Versions of a batch are written in one job and named by one file afterwards, so a failed write is never read.
+    One writer at a time. ``buckets`` is fixed for the life of a table; a bucket should fit one task.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: list[str], buckets: int = 64):
+        self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), key, buckets
+
+    def versions(self) -> dict[int, int]:
+        """The version to read of each bucket that has rows."""
+        named = f"{self.path}/_current"
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(named)
+        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+            return {}
+        return {r.bucket: r.version for r in self.spark.read.schema("bucket int, version int").parquet(named).groupBy("bucket").agg(F.max("version").alias("version")).collect()}
+
+    def read(self, only: list[int] | None = None) -> DataFrame | None:
+        """The rows of all buckets, or of those in ``only``; None where there are none."""
+        paths = [f"{self.path}/v{v}/__bucket={b}" for b, v in sorted(self.versions().items()) if only is None or b in only]
+        return self.spark.read.option("mergeSchema", True).parquet(*paths) if paths else None
+
+    def upsert(self, new: DataFrame, order: list[Column] | None = None) -> int:
+        """Put in the last row of each key of ``new``; gives the number of buckets that were written."""
+        bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+        touched = [r[0] for r in new.select(bucket).distinct().collect()]  # numbers of buckets
+        if not touched:
+            return 0
+        old = self.read(touched)
+        rows = upsert(new.limit(0) if old is None else old, new, self.key, order)
+        version = max(self.versions().values(), default=0) + 1
+        rows.withColumn("__bucket", bucket).repartition("__bucket").write.mode("overwrite").partitionBy("__bucket").parquet(f"{self.path}/v{version}")
+        self.spark.createDataFrame([(b, version) for b in touched], "bucket int, version int").coalesce(1).write.mode("append").parquet(f"{self.path}/_current")
+        return len(touched)
+
+
 def audit_row(spark: SparkSession, dataset: str, run_slot: str, trace_id: str, run_id: str, inserted: int, updated: int) -> DataFrame:
     """The row that a load appends to load_audit."""
     row = spark.createDataFrame([(dataset, run_slot, trace_id, run_id, inserted, updated)], "dataset string, run_slot string, trace_id string, run_id string, inserted long, updated long")

@@ -182,10 +182,11 @@ def report(env: RunEnv) -> dict:
     key, _ = protect.key_column(manifest, env.logical_date)
     rows = warehouse.VersionedTable(env.spark, f"{env.out}/warehouse/{env.dataset}").read()
     found = reports.build(rows, key, warehouse.Scope("run_slot", env.slot_text))
-    text = reports.to_markdown(found, f"{env.dataset} {env.slot_text}")
+    title = f"{env.dataset} {env.slot_text}"
     path = Path(env.config or env.out) / "reports" / f"{env.dataset}_{env.slot.strftime('%Y%m%dT%H%MZ')}.md"
     path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(text)
+    path.write_text(reports.to_markdown(found, title))
+    path.with_suffix(".html").write_text(reports.to_html(found, title), encoding="utf-8")
     return {"rows": found["tiles"][0][0], "pdf": str(path), "collected": deliver(path, env.config)}
 
 

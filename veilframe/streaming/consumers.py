@@ -13,7 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from veilframe.operators.messages import decode, judged, parse, wakes
 from veilframe.operators.traffic import is_listed
-from veilframe.operators.warehouse import VersionedTable, insert_if_absent
+from veilframe.operators.warehouse import BucketedTable, VersionedTable, insert_if_absent
 
 RAW = "topic string, partition int, offset long, value string, received_at timestamp"
 
@@ -72,7 +72,8 @@ def first_sights(messages: DataFrame, delay: str = "1 day") -> DataFrame:
 def decisions(messages: DataFrame, keep: str = "7 days") -> DataFrame:
     """event_id, idempotency_key, offset, decision of every message: first, replay or drop.
 
-    ``messages`` (event_id, idempotency_key, offset, received_at). State is a unit's events; it goes
+    ``messages`` (event_id, idempotency_key, offset, received_at). Messages received more than ``keep`` before
+    the latest one are late: Spark drops them, so they get no decision. State is a unit's events; it goes
     when, by the time of receipt, nothing has come for the unit for as long as ``keep``.
     """
     kept_ms = int(pd.Timedelta(keep).total_seconds() * 1000)
@@ -108,25 +109,35 @@ def waking(messages: DataFrame) -> DataFrame:
     return messages.withColumn("message", decode(F.col("value"))).where(wakes(F.col("message")))
 
 
-def record_verdicts(verdicts: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Keep one row per idempotency_key, the last that came, in a versioned table."""
+def record_verdicts(verdicts: DataFrame, table: str | BucketedTable, checkpoint: str) -> StreamingQuery:
+    """Keep one row per idempotency_key, the last that came: in a versioned table, which each batch rewrites, or in a bucketed one, of which it rewrites a part."""
     def merge(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
+        if isinstance(table, BucketedTable):
+            table.upsert(batch, [F.col("offset")])
+        elif not batch.isEmpty():
             VersionedTable(batch.sparkSession, table).upsert(batch, ["idempotency_key"], [F.col("offset")])
 
     return verdicts.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(merge).start()
 
 
-def ledger(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Remember (consumer, event_id, idempotency_key) of what was consumed, each once and for good, in folders by consumer."""
-    key = ["consumer", "event_id"]
+def ledger(messages: DataFrame, path: str, checkpoint: str, buckets: int = 256) -> StreamingQuery:
+    """Remember (consumer, event_id, idempotency_key) of what was consumed, each once and for good, in folders by consumer and bucket of the event.
+
+    A batch is held against the buckets that its events are in, not against a consumer's whole history.
+    """
+    key = ["consumer", "bucket", "event_id"]
 
     def remember(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select("event_id", "idempotency_key", "consumer")
-        consumers = [r[0] for r in rows.select("consumer").distinct().collect()]  # as many as there are consumers
-        old = spark.read.schema(rows.schema).parquet(path).where(F.col("consumer").isin(consumers)) if _exists(spark, path) else spark.createDataFrame([], rows.schema)
-        insert_if_absent(old, rows, key).write.mode("append").partitionBy("consumer").parquet(path)
+        rows = batch.select("event_id", "idempotency_key", "consumer", F.pmod(F.xxhash64("event_id"), F.lit(buckets)).cast("int").alias("bucket"))
+        old = spark.createDataFrame([], rows.schema)
+        if _exists(spark, path):
+            touched = rows.groupBy("consumer").agg(F.collect_set("bucket").alias("in")).collect()  # a row for each consumer, of numbers of buckets
+            known = F.lit(False)
+            for r in touched:
+                known |= (F.col("consumer") == r["consumer"]) & F.col("bucket").isin(r["in"])
+            old = spark.read.schema(rows.schema).parquet(path).where(known)
+        insert_if_absent(old, rows, key).write.mode("append").partitionBy("consumer", "bucket").parquet(path)
 
     return messages.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(remember).start()
 

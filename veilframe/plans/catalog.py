@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from veilframe.plans import relational_queries, scalar_queries, small_queries, state_queries, temporal_queries  # noqa: F401  they register their queries
+from veilframe.plans import relational_queries, run_queries, scalar_queries, small_queries, state_queries, temporal_queries  # noqa: F401  they register their queries
 from veilframe.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]

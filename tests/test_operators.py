@@ -223,6 +223,16 @@ def test_changes_in_slots(spark):
         assert sorted((r.dataset or "", r.at) for r in verdicts.changes(df, slot=slot).collect()) == want
 
 
+def test_changes_of_equal_times_do_not_depend_on_the_order_of_rows(spark):
+    rows = [("a", 1, True), ("a", 1, False), ("a", 12, False), ("a", 12, True), ("a", 12, None), ("a", None, True), ("a", 25, False)]
+    # by time, then value: null time True; 1 False, True; 12 null, False, True; 25 False
+    want = sorted([("None", "True"), ("1", "False"), ("1", "True"), ("12", "None"), ("12", "False"), ("12", "True"), ("25", "False")])
+    for given in (rows, rows[::-1], rows[3:] + rows[:3]):
+        df = spark.createDataFrame(given, "dataset string, at long, healthy boolean").repartition(3)
+        for slot in (None, F.floor(F.col("at") / 10)):
+            assert sorted((str(r.at), str(r.healthy)) for r in verdicts.changes(df, slot=slot).collect()) == want
+
+
 def test_addresses_and_networks_of_both_kinds(spark):
     import ipaddress
 

@@ -81,6 +81,23 @@ def test_null_times_and_prefixes(spark):
     assert sorted(r.category for r in traffic.route(requests, rules).collect()) == ["a", "default", "default"]
 
 
+def test_trailing_counts_use_no_sliding_frame(spark):
+    """A frame that slides is counted anew for each row, so a slot of n rows would cost n times n."""
+    rng = random.Random(12)
+    rows = [(rng.choice("xy"), f"c{rng.randrange(5)}", None if rng.random() < 0.02 else rng.randrange(4_000_000) / 1000) for _ in range(800)] + [("x", "c1", t) for t in (0.0, 60.0, 60.0, 120.0, 120.000001)]
+    df = spark.createDataFrame([(c, k, None if t is None else START + timedelta(seconds=t), i) for i, (c, k, t) in enumerate(rows)], "category string, client string, ts timestamp, i int")
+    got = traffic.sliding_rates(df, 60)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "specifiedwindowframe(RangeFrame, unboundedpreceding$(), currentrow$())" in plan and "specifiedwindowframe(RangeFrame, -" not in plan
+    micros = [None if t is None else round(t * 1e6) for *_, t in rows]
+    inside = lambda a, b: a is None and b is None or (a is not None and b is not None and a - 60_000_000 <= b <= a)
+    want = {}
+    for i, (c, k, _) in enumerate(rows):
+        own = [j for j, r in enumerate(rows) if r[0] == c and inside(micros[i], micros[j])]
+        want[i] = (sum(rows[j][1] == k for j in own), len(own))
+    assert {r.i: (r.client_hits, r.category_hits) for r in got.collect()} == want
+
+
 def test_snapshot_ranks_over_slots(spark):
     rng = random.Random(8)
     rows = [(rng.choice("xy"), f"c{int(rng.random() ** 2 * 200)}", at(rng.randrange(60))) for _ in range(3000)]

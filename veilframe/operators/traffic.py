@@ -132,15 +132,21 @@ def sliding_rates(requests: DataFrame, seconds: int = 60) -> DataFrame:
 def _trailing(requests: DataFrame, by: tuple[str, ...], name: str, seconds: int) -> DataFrame:
     """Adds the number of rows of the same keys in the trailing window. One key may hold most rows, so its rows are cut
     into slots of a window's length: a row's window is its own slot up to it and the slot before from its far end on.
-    Rows with a null time have each other in their window, and no others."""
+    Rows up to the row less those before its window are its hits, so frames only ever grow: a frame that slides is
+    counted anew for each row. Rows with a null time have each other in their window, and no others."""
     width = seconds * 1_000_000
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    rows = requests.withColumn("__at", at).withColumn("__slot", F.floor(at / width))
-    # every row is also a mark in the next slot, where it counts while it is no older than the window
-    marks = rows.where("__at is not null").select(*by, (F.col("__slot") + 1).alias("__slot"), "__at", F.lit(False).alias("__own"))
-    both = rows.withColumn("__own", F.lit(True)).unionByName(marks, allowMissingColumns=True)
-    window = W.partitionBy(*by, "__slot").orderBy("__at").rangeBetween(-width, 0)
-    return both.withColumn(name, F.count("*").over(window)).where("__own").drop("__own", "__slot", "__at")
+    rows = requests.withColumn("__at", at).withColumn("__slot", F.floor(at / width)).withColumn("__kind", F.lit("own")).withColumn("__of", F.col("__at"))
+    # every row is also a mark in the next slot, which counts there, and asks once for what is before its window
+    timed = rows.where("__at is not null")
+    marks = timed.select(*by, (F.col("__slot") + 1).alias("__slot"), "__at", F.lit("mark").alias("__kind"))
+    asks = timed.select(*by, "__slot", (F.col("__at") - width - 1).alias("__at"), F.lit("ask").alias("__kind"), F.col("__at").alias("__of"))
+    every = rows.unionByName(marks, allowMissingColumns=True).unionByName(asks, allowMissingColumns=True)
+    slot = W.partitionBy(*by, "__slot")
+    counted = every.withColumn("__n", F.count(F.when(F.col("__kind") != "ask", 1)).over(slot.orderBy("__at"))).where("__kind <> 'mark'")
+    before = F.max(F.when(F.col("__kind") == "ask", F.col("__n"))).over(slot.orderBy("__of"))  # grows with time, so the latest is the greatest
+    out = counted.withColumn(name, F.col("__n") - F.coalesce(before, F.lit(0))).where("__kind = 'own'")
+    return out.drop("__at", "__slot", "__kind", "__of", "__n")
 
 
 def breaches(rates: DataFrame, limits: DataFrame) -> DataFrame:

@@ -78,6 +78,20 @@ def test_listed_clients_are_not_blocked(spark, tmp_path):
     assert len(got) == 12 and {r.client for r in got if not r.allowed} == {"9.9.9.9"} and {r.reason for r in got if r.client[0] != "9"} == {"on the allowlist"}
 
 
+def test_rows_of_a_key_in_several_pieces_are_in_order(spark, tmp_path):
+    """Arrow cuts a key's rows anywhere, and pieces come in no order."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    own.conf.set("spark.sql.shuffle.partitions", "1")
+    offsets = [9, 8, 7, 6, 5, 4, 3, 2, 1, 0]
+    sent = own.createDataFrame([("u", f"e{o // 2}", o) for o in offsets], "idempotency_key string, event_id string, offset long").withColumn("received_at", F.timestamp_seconds(F.col("offset") + 1_000_000))
+    got = collect(consumers.decisions(stream(own, sent, str(tmp_path / "in"))).writeStream.outputMode("append"), own, tmp_path)
+    assert [r.decision for r in sorted(got, key=lambda r: r.offset)] == ["first", "drop", *["replay", "drop"] * 4]
+    hits = own.createDataFrame([("x", i) for i in (332, 331, 30, 20, 10, 0)], "client string, at long").select("client", F.timestamp_seconds(F.col("at") + 1_000_000).alias("ts"))
+    blocked = collect(consumers.client_blocks(stream(own, hits, str(tmp_path / "b" / "in")), 2).writeStream.outputMode("append"), own, tmp_path / "b")
+    assert [r.allowed for r in sorted(blocked, key=lambda r: r.ts)] == [True, True, False, False, True, True]
+
+
 def test_total_breaches(spark, tmp_path):
     rows = spark.createDataFrame([("read", i % 20) for i in range(30)] + [("write", i) for i in range(5)] + [("read", 500)], "category string, at long").withColumn("ts", F.timestamp_seconds("at"))
     limits = spark.createDataFrame([("read", 25), ("write", 25)], "category string, total long")

@@ -83,14 +83,13 @@ def decisions(messages: DataFrame, keep: str = "7 days") -> DataFrame:
             state.remove()
             return
         seen, last = (set(state.get[0]), state.get[1]) if state.exists else (set(), 0)
-        for pdf in batches:
-            pdf = pdf.sort_values("offset")
-            last = max(last, int(pdf["received_at"].max().timestamp() * 1000))
-            out = []
-            for event in pdf["event_id"]:
-                out.append("drop" if event in seen else "replay" if seen else "first")
-                seen.add(event)
-            yield pd.DataFrame({"idempotency_key": key[0], "event_id": pdf["event_id"], "offset": pdf["offset"], "decision": out})
+        pdf = pd.concat(batches).sort_values("offset")  # a unit's rows may come in several pieces, in any order
+        last = max(last, int(pdf["received_at"].max().timestamp() * 1000))
+        out = []
+        for event in pdf["event_id"]:
+            out.append("drop" if event in seen else "replay" if seen else "first")
+            seen.add(event)
+        yield pd.DataFrame({"idempotency_key": key[0], "event_id": pdf["event_id"], "offset": pdf["offset"], "decision": out})
         state.update((sorted(seen), last))
         state.setTimeoutTimestamp(max(last + kept_ms, state.getCurrentWatermarkMs() + 1))
 
@@ -207,24 +206,23 @@ def client_blocks(requests: DataFrame, per_client: int, window_seconds: int = 60
             state.remove()
             return
         hits, until = (deque(state.get[0]), state.get[1]) if state.exists else (deque(), -1.0)
-        for pdf in batches:
-            pdf = pdf.sort_values("ts")
-            allowed, reasons = [], []
-            for ts in pdf["ts"]:
-                now = ts.timestamp()
-                if now < until:
-                    allowed.append(False)
-                    reasons.append("client blocked")
-                    continue
-                while hits and hits[0] < now - window_seconds:
-                    hits.popleft()
-                hits.append(now)
-                over = len(hits) > per_client
-                if over:
-                    until = now + block_seconds
-                allowed.append(not over)
-                reasons.append("over the limit" if over else "within the limit")
-            yield pd.DataFrame({"client": key[0], "ts": pdf["ts"], "allowed": allowed, "reason": reasons})
+        pdf = pd.concat(batches).sort_values("ts")  # a client's rows may come in several pieces, in any order
+        allowed, reasons = [], []
+        for ts in pdf["ts"]:
+            now = ts.timestamp()
+            if now < until:
+                allowed.append(False)
+                reasons.append("client blocked")
+                continue
+            while hits and hits[0] < now - window_seconds:
+                hits.popleft()
+            hits.append(now)
+            over = len(hits) > per_client
+            if over:
+                until = now + block_seconds
+            allowed.append(not over)
+            reasons.append("over the limit" if over else "within the limit")
+        yield pd.DataFrame({"client": key[0], "ts": pdf["ts"], "allowed": allowed, "reason": reasons})
         state.update((list(hits), until))
         end = max(until, (hits[-1] if hits else 0.0) + window_seconds)
         state.setTimeoutTimestamp(max(int(end * 1000), state.getCurrentWatermarkMs()) + 1)

@@ -194,6 +194,14 @@ def test_search_against_plain_scores(spark, shard_bytes, batch_terms):
     assert sorted((str(r.item_id), r["rank"], str(r.doc_id), r.score) for r in got) == plain_search(docs, items)
 
 
+def test_shards_of_one_task_are_cut_into_small_files(spark):
+    """Writers and readers hold a file's rows at once, and a shard is megabytes, so a task's memory must not grow with its shards."""
+    docs = spark.createDataFrame([(i, f"word{i} and more words of text {i}") for i in range(100)], "doc_id long, text string").coalesce(1)
+    shards, n_docs, _ = sharded_search.index(docs, 60)
+    files = shards.groupBy(F.input_file_name()).count().collect()
+    assert n_docs == 100 and len(files) > 5 and max(r["count"] for r in files) <= sharded_search.SHARDS_PER_FILE
+
+
 def test_search_of_no_rows_and_text_ids(spark):
     docs = spark.createDataFrame([("b", "one two"), ("a", "one two"), ("c", "three")], "doc_id string, text string")
     items = spark.createDataFrame([("q", "two")], "item_id string, text string")

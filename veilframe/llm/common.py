@@ -31,15 +31,17 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def saved(df: DataFrame) -> DataFrame:
+def saved(df: DataFrame, rows_per_file: int = 0) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and later readers prune columns.
 
     A lost executor costs nothing that was written. The caller owns the folder
-    named in ``spark.checkpoint.dir`` and empties it after the job.
+    named in ``spark.checkpoint.dir`` and empties it after the job. Frames whose rows are
+    megabytes need ``rows_per_file``: writers look at their size every 100 rows only, and
+    readers take up to 4,096 rows of a file at once.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/veilframe/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.saved_at = path
     for written in _recorders:

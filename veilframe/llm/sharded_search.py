@@ -23,6 +23,9 @@ from veilframe.llm.common import discard, saved, slices
 #: Bytes of a text that belong to no term become spaces, and A-Z lower case.
 TERM_BYTES = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)).lower()
 
+#: Shards are rows of megabytes: a file holds as many as a task may have in memory at once.
+SHARDS_PER_FILE = 4
+
 
 def terms_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """For every term of every text, in order, the text's number and the term's; and the distinct terms."""
@@ -67,7 +70,7 @@ def index(docs: DataFrame, shard_bytes: int = 4_000_000) -> tuple[DataFrame, int
 
     fixed = f"doc_ids array<{kind}>, terms array<string>, df array<long>, docs binary"
     base = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
-    raw = saved(base.mapInArrow(shard, f"{fixed}, tf binary, lengths binary, n_docs long, n_terms long"))
+    raw = saved(base.mapInArrow(shard, f"{fixed}, tf binary, lengths binary, n_docs long, n_terms long"), SHARDS_PER_FILE)
     n_docs, n_terms = (x or 0 for x in raw.agg(F.sum("n_docs"), F.sum("n_terms")).first())
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,7 +82,7 @@ def index(docs: DataFrame, shard_bytes: int = 4_000_000) -> tuple[DataFrame, int
                 impacts = (1_000_000_000 * tf.astype(np.int64)) // (1000 * tf.astype(np.int64) + 8 * m[docs])
                 yield pa.RecordBatch.from_arrays([*batch.slice(k, 1).columns[:4], pa.array([impacts.astype(np.int32).tobytes()], pa.binary())], ["doc_ids", "terms", "df", "docs", "impacts"])
 
-    shards = saved(raw.mapInArrow(weigh, f"{fixed}, impacts binary"))
+    shards = saved(raw.mapInArrow(weigh, f"{fixed}, impacts binary"), SHARDS_PER_FILE)
     discard(raw)
     return shards, n_docs, n_terms
 

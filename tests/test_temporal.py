@@ -147,6 +147,24 @@ def test_audit_of_events_equals_the_rule(spark):
     assert got == want and {r[1].split(" (")[0] for r in want.values()} >= {"client blocked", "within profile", "over the per-client limit"}
 
 
+def test_waiting_requests_are_one_state_entry_for_each_call():
+    """An entry for each request is read and written one by one, of which a category has millions."""
+    import pandas as pd
+
+    class Handle(list):
+        def appendValue(self, row):  # noqa: N802
+            self.append(row)
+
+        def registerTimer(self, at):  # noqa: N802
+            self.timer = at
+
+    step = auditor.ByClient({"read": 3}, 60, 100)
+    step.waiting = step.handle = entries = Handle()
+    rows = pd.DataFrame([(i, "c", "read", 5_000_000 - i, False, True, "", 0, None, True) for i in range(2000)], columns=step.names)
+    assert list(step.handleInputRows(("c",), iter([rows[:1500], rows[1500:]]), None)) == []
+    assert len(entries) == 1 and entries.timer == (5_000_000 - 1999) // 1000 + 1 and len(entries[0][0]) < 50_000
+
+
 def test_audit_over_several_batches(spark, tmp_path):
     """Requests out of order within and across batches, bursts of a client and of a category, blocks that end, clients on the allowlist."""
     rng = random.Random(6)

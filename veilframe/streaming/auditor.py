@@ -9,9 +9,13 @@ total goes over its limit. A client's state is gone once it has neither hits nor
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+import pickle
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -27,41 +31,60 @@ SECOND = 1_000_000
 
 
 class _InOrder(StatefulProcessor):
-    """Rows of a key wait in a list until the watermark has passed them, then are decided in order of time and request."""
+    """Rows of a key wait until the watermark has passed them, then are decided in order of time and request.
 
-    row = "request long, client string, category string, at long, exempt boolean, allowed boolean, reason string, retry_after long, alert string, counted boolean"
+    They wait as compressed Arrow batches, one for each call: a state entry for each row would be read and written row by row.
+    """
+
+    names = "request client category at exempt allowed reason retry_after alert counted".split()
+    row = pa.schema(list(zip(names, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.int64(), pa.string(), pa.bool_()), strict=True)))
+    piece = 50_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.row)
-        self.hits = handle.getListState("hits", "category string, at long")
-        self.until = handle.getValueState("until", "at long, category string")
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.kept = handle.getValueState("kept", "state binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            if len(pdf):
-                self.waiting.appendList([tuple(r) for r in pdf[[c.split()[0] for c in self.row.split(", ")]].itertuples(index=False)])
-                self._wake(int(pdf["at"].min()))
-        yield pd.DataFrame(columns=COLUMNS)
-
-    def _wake(self, at: int) -> None:
-        self.handle.registerTimer(at // 1000 + 1)
+        found = pa.Table.from_batches([pa.RecordBatch.from_pandas(pdf[self.names], self.row, preserve_index=False) for pdf in rows if len(pdf)], self.row)
+        if found.num_rows:
+            self._wait(found)
+        yield from ()
+
+    def _wait(self, rows: pa.Table) -> None:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, self.row, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(rows)
+        self.waiting.appendValue((sink.getvalue().to_pybytes(),))
+        self.handle.registerTimer(pc.min(rows["at"]).as_py() // 1000 + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted(self.waiting.get(), key=lambda r: (r[3], r[0]))
-        ready, rest = [r for r in waiting if r[3] < passed], [r for r in waiting if r[3] >= passed]
+        batches = [b for (data,) in self.waiting.get() for b in pa.ipc.open_stream(bytes(data))]
+        if not batches:
+            return
+        waiting = pa.Table.from_batches(batches, self.row).sort_by([("at", "ascending"), ("request", "ascending")])
+        n = pc.sum(pc.less(waiting["at"], passed)).as_py() or 0
         self.waiting.clear()
-        if rest:
-            self.waiting.put(rest)
-            self._wake(rest[0][3])
-        out = list(self.decide(ready))
-        yield pd.DataFrame([(*r[:4], pd.Timestamp(r[3], unit="us"), *r[4:]) for r in out], columns=COLUMNS)
+        if n < waiting.num_rows:
+            self._wait(waiting.slice(n))
+        ready = (r for a in range(0, n, self.piece) for r in zip(*(c.to_pylist() for c in waiting.slice(a, min(self.piece, n - a)).columns), strict=True))
+        for out in itertools.batched(self.decide(ready), self.piece):
+            yield pd.DataFrame([(*r[:4], pd.NaT, *r[4:]) for r in out], columns=COLUMNS).assign(ts=pd.to_datetime([r[3] for r in out], unit="us"))
 
     def close(self) -> None:
         pass
 
-    def decide(self, ready: list[tuple]) -> Iterator[tuple]:
+    def _load(self, empty: tuple) -> tuple:
+        return pickle.loads(bytes(self.kept.get()[0])) if self.kept.exists() else empty
+
+    def _keep(self, state: tuple) -> None:
+        if any(state):
+            self.kept.update((pickle.dumps(state),))
+        else:
+            self.kept.clear()
+
+    def decide(self, ready: Iterable[tuple]) -> Iterator[tuple]:
         raise NotImplementedError
 
 
@@ -69,11 +92,8 @@ class ByClient(_InOrder):
     def __init__(self, limits: dict[str, int], window_seconds: int, block_seconds: int):
         self.limits, self.window, self.block = limits, window_seconds * SECOND, block_seconds * SECOND
 
-    def decide(self, ready: list[tuple]) -> Iterator[tuple]:
-        until, why = self.until.get() if self.until.exists() else (0, "")
-        hits: dict[str, list[int]] = {}
-        for category, at in self.hits.get():
-            hits.setdefault(category, []).append(at)
+    def decide(self, ready: Iterable[tuple]) -> Iterator[tuple]:
+        hits, until, why = self._load(({}, 0, ""))
         last = 0
         for request, client, category, at, exempt, *_ in ready:
             last, alert = at, None
@@ -88,27 +108,17 @@ class ByClient(_InOrder):
                 yield (request, client, category, at, exempt, False, OVER, self.block // SECOND, NEWLY_BLOCKED if alert is None else f"{alert},{NEWLY_BLOCKED}", True)
             else:
                 yield (request, client, category, at, exempt, True, FINE, 0, alert, True)
-        self._keep(hits, until, why, last)
-
-    def _keep(self, hits: dict[str, list[int]], until: int, why: str, now: int) -> None:
-        kept = [(c, x) for c, own in hits.items() for x in own if x >= now - self.window]
-        self.hits.clear()
-        self.until.clear()
-        if kept:
-            self.hits.put(kept)
-        if until:
-            self.until.update((until, why))
+        kept = {c: own for c, times in hits.items() if (own := [x for x in times if x >= last - self.window])}
+        self._keep((kept, until, why if until else ""))
 
 
 class ByCategory(_InOrder):
     def __init__(self, limits: dict[str, int], window_seconds: int, block_seconds: int):
         self.limits, self.window, self.block = limits, window_seconds * SECOND, block_seconds * SECOND
 
-    def decide(self, ready: list[tuple]) -> Iterator[tuple]:
-        until = self.until.get()[0] if self.until.exists() else 0
-        hits = [at for _, at in self.hits.get()]
+    def decide(self, ready: Iterable[tuple]) -> Iterator[tuple]:
+        hits, until = self._load(([], 0))
         first = 0  # of the hits in the window
-        category = None
         for row in ready:
             request, client, category, at, exempt, allowed, reason, retry, alert, counted = row
             if not counted:
@@ -117,6 +127,9 @@ class ByCategory(_InOrder):
             hits.append(at)
             while hits[first] < at - self.window:
                 first += 1
+            if first > 100_000:
+                del hits[:first]
+                first = 0
             if not allowed:  # blocked just now: counted, but it asks for no more
                 yield row
                 continue
@@ -130,12 +143,7 @@ class ByCategory(_InOrder):
                 until = 0
                 alerts.append(CLEARED)
             yield (request, client, category, at, exempt, allowed, reason, retry, ",".join(alerts) or None, counted)
-        self.hits.clear()
-        self.until.clear()
-        if hits[first:]:
-            self.hits.put([(category, x) for x in hits[first:]])
-        if until:
-            self.until.update((until, ""))
+        self._keep((hits[first:], until))
 
 
 def audit(requests: DataFrame, profile: Profile, delay: str = "10 seconds") -> DataFrame:

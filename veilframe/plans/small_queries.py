@@ -9,16 +9,17 @@ from veilframe.functions import crypto, ids
 from veilframe.operators import messages, policies, protect, verdicts
 from veilframe.plans.registry import query, table
 from veilframe.plans.scalar_queries import DEMO_KEYS
+from veilframe.sources import tables
 
 
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS key, c_mktsegment AS segment, true AS sealed FROM customer""")
 def rejoin_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    rows = tables.spread(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"))
     sealed = crypto.Encryptor(DEMO_KEYS).protect(rows, {"c_name": "c_name_encrypted"}, {"c_name": "c_name_blind_index"})
     slot = F.lit("2026-01-01").cast("timestamp")
     wrap = lambda kind: messages.envelope(kind, "customer", slot, ids.trace_id(slot, "customer"), "run-1", 1, F.col("c_custkey"), "pipeline", slot)
     out = messages.row_messages(sealed, wrap, ["c_name_encrypted", "c_name_blind_index", "c_mktsegment"], ["c_name"])
-    both = messages.rejoin(out.select(messages.decode(F.col("value")).alias("message")))
+    both = messages.rejoin(out.select(messages.parse(F.col("value")).alias("message")))  # unjudged: rejoining asks for no problems
     return both.select("key", F.element_at("flat", "c_mktsegment").alias("segment"), F.element_at("encrypted", "c_name_encrypted").startswith("enc:v1:").alias("sealed"))
 
 

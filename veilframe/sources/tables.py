@@ -24,6 +24,12 @@ def read_csv(spark: SparkSession, path: str, rows: int | None = None) -> DataFra
     return df if rows is None else df.limit(rows)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt out evenly to at least as many tasks as there are cores: a narrow table of a million rows may be one small file, and so one task's work."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def not_empty(df: DataFrame) -> DataFrame:
     if df.isEmpty():
         raise SourceError("the source gave no rows")

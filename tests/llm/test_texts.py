@@ -248,6 +248,22 @@ def test_runs_outside_articles_are_counted(spark):
     assert {(r.text, r.site_tokens) for r in got} == {(f"{foot} and the text of page {i}", 15) for i in range(4)}
 
 
+def test_blocks_that_most_articles_of_a_host_have_go(spark):
+    notice = "Our letter comes every week and tells all our readers what is new"
+    credit = "This piece was first printed by the paper of {0} {0} {0} {0} {0} {0} {0} {0} and may be shared by all of its readers"
+    own = "Here the page {0} says what {0} no other of the pages {0} has"
+    page = lambda i, *more: "<article>" + "".join(f"<p>{b}</p>" for b in (own.format(f"a{i}"), *more, own.format(f"b{i}"), own.format(f"c{i}"))) + "</article>"
+    rows = [(i, f"http://h/{i}", page(i, notice, credit.format(f"y{i}"))) for i in range(4)] + [(4, "http://h/4", page(4)), (5, "http://h/5", page(0, notice, credit.format("y0"))), (6, "http://h/6", "<article><p>Two.<p>Two.</article>")]
+    rows += [(10 + i, f"http://few/{i}", page(i, *[notice] * (i < 2))) for i in range(5)]
+    rows += [(20 + i, f"http://near/{i}", page(0, notice, f"version number {i}")) for i in range(4)]
+    got = {r.page_id: r.text for r in html_main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    for i in range(4):
+        assert got[i] == "\n".join([own.format(f"a{i}"), credit.format(f"y{i}"), own.format(f"b{i}"), own.format(f"c{i}")])
+    assert got[5] == got[0] and got[6] == "Two.\nTwo."
+    assert [notice in got[10 + i] for i in range(5)] == [True, True, False, False, False]
+    assert all(got[20 + i].count(notice) == 1 and got[20 + i].count("\n") == 4 for i in range(4))
+
+
 def test_pages_of_odd_rows(spark):
     rows = [(1, None, None), (2, "", ""), (3, "x", "no tags at all"), (4, "http://h/", "<p>cut <b"), (5, "http://h/", "<nav>only menu"), (6, "http://h/", "<article>" + "<p>long text</p>" * 20_000), (6, "http://h/", "<!-- open")]
     df = spark.createDataFrame([(*r, "c", 1) for r in rows], "page_id long, url string, html string, host string, run int")

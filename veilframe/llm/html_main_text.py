@@ -7,6 +7,8 @@ host into a suffix array: every suffix is sorted by host and its leading tokens,
 neighbours in that order give, for each position, the length of the longest run that
 another page of the host has too. Runs of at least ``min_run`` tokens are the site's;
 undecided text that they cover is boilerplate, and what is unique to a page stays.
+Blocks inside articles that most articles of the host open and end alike go through
+the array too, and a block goes that its runs cover whole.
 """
 
 from __future__ import annotations
@@ -244,11 +246,52 @@ def _repeated(streams: DataFrame, min_run: int, window: int) -> DataFrame:
     return spans.withColumn("site_tokens", F.aggregate("spans", F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")), grow)["n"])
 
 
+def _of_most(rows: DataFrame, articles: DataFrame) -> DataFrame:
+    """The ``rows`` (site_of, article, end and more), less end, whose end is in three articles of the host at least and in more than half of them.
+
+    ``articles`` (site_of, articles) counts the articles of each host. Equal articles count as one.
+    """
+    each = rows.groupBy("site_of", "end", "article").agg(F.count("*").alias("n"))
+    counts = saved(each.groupBy("site_of", "end").agg(F.count("*").alias("with"), F.sum("n").alias("meets")).where("with >= 3"))
+    sizes = counts.groupBy("site_of").agg(F.count("*").alias("n")).join(articles, "site_of")
+    common = with_shares(counts, sizes, "site_of").where("2 * with > articles").select("end", F.col("meets").alias("n"))
+    return with_shares(rows, common, "end").drop("end")
+
+
+def _site_blocks(articles: DataFrame, min_run: int, window: int) -> DataFrame:
+    """row, site_blocks: the blocks of an article that are the site's own; only rows that have some.
+
+    ``articles`` (row, host, text). A block's first ``min_run`` tokens, and its last, are those of blocks in most articles
+    of the host, and the array's runs, here of such blocks alone, cover every token of it.
+    """
+    named = articles.withColumn("site_of", digest(F.col("host"))).withColumn("article", F.xxhash64("text"))
+    sizes = saved(named.select("site_of", "article").distinct().groupBy("site_of").agg(F.count("*").alias("articles")))
+    end = lambda n: digest(F.hex("site_of"), F.substring_index("block", " ", n)).alias("end")
+    parts = named.select("row", "site_of", "article", F.posexplode(F.split("text", "\n")).alias("pos", "block")).where(_tokens("block") >= min_run)
+    opened = saved(_of_most(parts.select("row", "site_of", "article", "pos", end(min_run)), sizes).groupBy("row").agg(F.collect_set("pos").alias("at")))  # its size known, texts stay where they are if it is small
+    held = named.join(opened, "row").select("row", "host", "site_of", "article", F.explode(F.transform("at", lambda k: F.get(F.split("text", "\n"), k))).alias("block"))
+    held = saved(held)
+    blocks_ = saved(_of_most(held.withColumn("end", end(-min_run)), sizes).withColumn("named", digest(F.col("host"), F.col("block"))))
+    streams = saved(
+        blocks_.groupBy("named").agg(F.first("host").alias("host"), F.first("block").alias("stream"), F.min("article").alias("first"), F.max("article").alias("last"), F.count("*").alias("n"))
+        .withColumn("sid", F.monotonically_increasing_id())
+    )
+    whole = streams.join(_repeated(streams, min_run, window), "sid").where(F.col("site_tokens") == _tokens("stream")).select("named", "n")
+    return with_shares(blocks_.select("row", "block", "named"), whole, "named").groupBy("row").agg(F.collect_set("block").alias("site_blocks"))
+
+
+def _tokens(text: str) -> Column:
+    return F.length(text) - F.length(F.translate(text, " \n", "")) + 1
+
+
 def extract(pages: DataFrame, min_run: int = 8, window: int = 16) -> DataFrame:
     """page_id, url, text, n_chars, site_tokens of every row of ``pages`` (page_id, url, html; further columns are ignored).
 
     A page with an article or main element yields the blocks in it that no inner
-    element marks as something else; these are never removed for being repeated, as
+    element marks as something else. Of these a whole block of ``min_run`` tokens or more
+    goes if its first and its last ``min_run`` tokens are those of blocks in three articles of the host
+    at least and in more than half of them, and runs that articles of the host share cover it whole;
+    but where such blocks are more than half of an article nothing of it goes, as copies and near
     copies of an article are articles. Without one, undecided blocks are the text,
     less the runs of at least ``min_run`` tokens that another page of the host has
     outside its article, which may go over the bounds of blocks. A shorter block that
@@ -334,7 +377,11 @@ def extract(pages: DataFrame, min_run: int = 8, window: int = 16) -> DataFrame:
     n_site = F.coalesce("site_tokens", F.lit(0)).cast("long").alias("site_tokens")
     rest = open_pages.withColumn("site_of", site_of).join(site_runs, "row", "left").join(site, ["site_of", "page"], "left").select("page_id", "url", n_site, "undecided", "own", "spans", "site")
     rest = rest.mapInArrow(keep_unique, f"page_id {kinds['page_id']}, url string, site_tokens long, text string")
-    done = parsed.where(~open_page).join(site_runs.select("row", "site_tokens"), "row", "left").select("page_id", "url", n_site, "text")
+    repeats = saved(_site_blocks(parsed.where(~open_page & (F.col("text") != "")).select("row", "host", "text"), min_run, window))
+    decided = parsed.where(~open_page).join(site_runs.select("row", "site_tokens"), "row", "left").join(repeats, "row", "left")
+    decided = decided.withColumn("less", F.array_join(F.filter(F.split("text", "\n"), lambda b: ~F.array_contains("site_blocks", b)), "\n"))
+    decided = decided.withColumn("text", F.when(F.col("site_blocks").isNotNull() & (2 * _tokens("less") >= _tokens("text")), F.col("less")).otherwise(F.col("text")))
+    done = decided.select("page_id", "url", n_site, "text")
     return done.unionByName(rest).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "site_tokens")
 
 

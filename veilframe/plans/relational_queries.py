@@ -201,7 +201,7 @@ FROM (SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderstatus, unnest(['rows.en
 def published_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from veilframe.functions import crypto
 
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
+    rows = tables.spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"))
     sealed = crypto.Encryptor(DEMO_KEYS).protect(rows, {"o_orderpriority": "o_orderpriority_encrypted"}, {"o_orderpriority": "o_orderpriority_blind_index"})
     cols = ["o_orderkey", "o_orderstatus", "o_orderpriority_encrypted", "o_orderpriority_blind_index"]
     out = messages.row_messages(sealed, _envelope, cols, ["o_orderpriority"])
@@ -222,7 +222,7 @@ def envelope_flat_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT CASE event_id % 8 WHEN 0 THEN 'not_json' WHEN 1 THEN 'event_id' WHEN 2 THEN 'flat_payload' WHEN 3 THEN 'try_number' WHEN 4 THEN 'run_slot' ELSE '' END AS problems, count(*) AS n FROM events GROUP BY 1""")
 def validate_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    e = tables.spread(table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type"))
     kind, env = F.col("event_id") % 8, messages.envelope(messages.FLAT, "events", F.col("ts"), ids.trace_id(F.col("ts"), "events"), "run-1", 1, F.col("event_id"), "pipeline", F.col("ts"))
     broken = env
     for k, name, value in ((1, "event_id", F.lit("xyz")), (3, "try_number", F.lit(0)), (4, "run_slot", F.lit("yesterday"))):
@@ -419,7 +419,7 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_tap(spark: SparkSession, sf_dir: str) -> DataFrame:
     from veilframe.streaming import consumers
 
-    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    e = tables.spread(table(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts")))
     env = messages.envelope(messages.FLAT, "events", F.col("ts"), ids.trace_id(F.col("ts"), "events"), "run-1", 1, F.col("event_id"), "pipeline", F.col("ts"))
     whole = F.to_json(F.struct(env.alias("envelope"), F.create_map(F.lit("event_type"), F.col("event_type")).alias("payload")))
     value = F.when(F.col("event_id") % 6 == 0, F.lit("{}")).otherwise(whole)

@@ -139,3 +139,15 @@ def test_rate_windows(spark, tmp_path):
     profile = traffic.Profile((traffic.Category("auth", ("POST /login",), 3, 5),), traffic.Category("default", (), 50, 500))
     df = spark.createDataFrame([("post", "/login/x"), ("get", "/login")], "m string, p string")
     assert [r[0] for r in df.select(profile.category(F.col("m"), F.col("p"))).collect()] == ["auth", "default"]
+
+
+def test_messages_of_the_tap_query_are_written_by_all_cores(spark, monkeypatch):
+    from pathlib import Path
+
+    from veilframe.plans import catalog
+    from veilframe.streaming import consumers
+
+    files, read = [], consumers.read_messages
+    monkeypatch.setattr(consumers, "read_messages", lambda s, path, **o: files.extend(Path(path.removeprefix("file:")).glob("*.parquet")) or read(s, path, **o))
+    catalog.QUERIES["stream_tap"](spark, "/root/testdata/sf0.001")
+    assert len(files) >= spark.sparkContext.defaultParallelism

@@ -151,3 +151,12 @@ def test_messages_of_the_tap_query_are_written_by_all_cores(spark, monkeypatch):
     monkeypatch.setattr(consumers, "read_messages", lambda s, path, **o: files.extend(Path(path.removeprefix("file:")).glob("*.parquet")) or read(s, path, **o))
     catalog.QUERIES["stream_tap"](spark, "/root/testdata/sf0.001")
     assert len(files) >= spark.sparkContext.defaultParallelism
+
+
+def test_narrow_segments_are_read_in_runs():
+    from veilframe.sources import message_log
+
+    segments = [message_log.Segment(f"/log/{p}/{n}", "t", p, 10 * n, 10 * n + 10) for p in range(2) for n in range(7)]
+    found = message_log.runs(segments, offsets=30)
+    assert [len(r.segments) for r in found] == [3, 3, 1] * 2 and [s for r in found for s in r.segments] == segments
+    assert [len(r.segments) for r in message_log.runs(segments, offsets=5)] == [1] * 14

@@ -1,7 +1,7 @@
 """A message log in files as a data source of its own, for batches and streams: format ``message_log`` with a broker's schema.
 
 A log is a folder of segments, ``topic=T/partition=P/segment=N``, each of ``width`` offsets. Offsets of a
-partition begin at 0 and have no gaps. :func:`append` writes them; a reader's tasks are segments.
+partition begin at 0 and have no gaps. :func:`append` writes them; a reader's task is a run of segments, of ``WIDTH`` offsets in all or one segment.
 """
 
 from __future__ import annotations
@@ -39,6 +39,25 @@ class Segment(InputPartition):
     high: int
 
 
+@dataclass
+class Run(InputPartition):
+    """Segments of one topic's partition, in order."""
+
+    segments: list[Segment]
+
+
+def runs(segments: list[Segment], offsets: int = WIDTH) -> list[Run]:
+    """The segments in runs of at most ``offsets`` offsets, or of one segment, so that a log of narrow ones is not as many tasks."""
+    out: list[Run] = []
+    for s in segments:
+        last = out[-1].segments if out else []
+        if last and (s.topic, s.partition) == (last[-1].topic, last[-1].partition) and s.high - last[0].low <= offsets:
+            last.append(s)
+        else:
+            out.append(Run([s]))
+    return out
+
+
 class Log:
     """What the files of a log say; made anew wherever it is used."""
 
@@ -139,13 +158,13 @@ class BatchReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.options = options
 
-    def partitions(self) -> list[Segment]:
+    def partitions(self) -> list[Run]:
         log = Log(self.options)
-        return log.segments({}, log.ends())
+        return runs(log.segments({}, log.ends()))
 
-    def read(self, partition: Segment) -> Iterator[pa.RecordBatch]:
-        if partition is not None:  # a log without messages has no segments
-            yield from Log(self.options).read(partition)
+    def read(self, partition: Run) -> Iterator[pa.RecordBatch]:
+        for segment in partition.segments if partition is not None else ():  # a log without messages has no segments
+            yield from Log(self.options).read(segment)
 
 
 class StreamReader(DataSourceStreamReader):
@@ -160,11 +179,12 @@ class StreamReader(DataSourceStreamReader):
     def latestOffset(self) -> dict[str, int]:
         return Log(self.options).ends()
 
-    def partitions(self, start: dict[str, int], end: dict[str, int]) -> list[Segment]:
-        return Log(self.options).segments(start, end)
+    def partitions(self, start: dict[str, int], end: dict[str, int]) -> list[Run]:
+        return runs(Log(self.options).segments(start, end))
 
-    def read(self, partition: Segment) -> Iterator[pa.RecordBatch]:
-        yield from Log(self.options).read(partition)
+    def read(self, partition: Run) -> Iterator[pa.RecordBatch]:
+        for segment in partition.segments:
+            yield from Log(self.options).read(segment)
 
 
 class MessageLog(DataSource):

@@ -160,3 +160,28 @@ def test_narrow_segments_are_read_in_runs():
     found = message_log.runs(segments, offsets=30)
     assert [len(r.segments) for r in found] == [3, 3, 1] * 2 and [s for r in found for s in r.segments] == segments
     assert [len(r.segments) for r in message_log.runs(segments, offsets=5)] == [1] * 14
+
+
+def test_units_share_calls_and_state_and_go_one_by_one(spark, tmp_path):
+    path, hour = str(tmp_path / "in"), 3600
+    many = [(f"u{i}", f"e{i}", i, 0) for i in range(300)]
+    for batch in ([*many, (None, None, 300, 0), (None, "e", 301, 0)], [("x", "x1", 302, 10 * hour)], [("x", "x2", 303, 10 * hour), ("u7", "e7", 304, 9.5 * hour)], [("u7", "e7", 305, 10 * hour), ("u8", "e8", 306, 10 * hour)]):
+        rows = spark.createDataFrame([(*r[:3], float(r[3])) for r in batch], "idempotency_key string, event_id string, offset long, at double")
+        rows.withColumn("received_at", F.timestamp_seconds(F.col("at") + 1_000_000)).drop("at").coalesce(1).write.mode("append").parquet(path)
+    sent = spark.readStream.schema("idempotency_key string, event_id string, offset long, received_at timestamp").option("maxFilesPerTrigger", 1).parquet(path)
+    q = consumers.decisions(sent, "1 hour", buckets=8).writeStream.outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).format("parquet").option("path", str(tmp_path / "o")).start()
+    q.awaitTermination()
+    got = {r.offset: r.decision for r in spark.read.parquet(str(tmp_path / "o")).collect()}
+    assert [got[i] for i in range(300)] == ["first"] * 300 and (got[300], got[301]) == ("first", "replay")
+    # u7 was known when it came again, and is kept from then on; u8 was not seen for an hour, and begins anew
+    assert [got[i] for i in range(302, 307)] == ["first", "replay", "drop", "drop", "first"]
+    assert max(p.stateOperators[0].numRowsTotal for p in q.recentProgress) == 8
+
+
+def test_messages_of_the_dedupe_query_are_written_by_all_cores(spark, monkeypatch):
+    from veilframe.plans import catalog, relational_queries
+
+    parts, run_stream = [], relational_queries._stream
+    monkeypatch.setattr(relational_queries, "_stream", lambda s, d, rows, *more: parts.append(rows.rdd.getNumPartitions()) or run_stream(s, d, rows, *more))
+    catalog.QUERIES["stream_dedupe"](spark, "/root/testdata/sf0.001")
+    assert parts[0] >= 2 * spark.sparkContext.defaultParallelism

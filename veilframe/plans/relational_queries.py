@@ -237,8 +237,10 @@ _REPLAYS = """SELECT 'tap' AS consumer, 'e' || event_id AS event_id, 'u' || (eve
 UNION ALL SELECT 'tap', 'e' || event_id, 'u' || (event_id // 3), event_id * 2 + 1 FROM events WHERE event_id % 5 = 0"""
 
 
-def _replays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+def _replays(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("event_id")
+    if spread:
+        e = tables.spread(e)
     rows = e.selectExpr("'tap' AS consumer", "concat('e', event_id) AS event_id", "concat('u', event_id div 3) AS idempotency_key", "event_id * 2 AS offset", "event_id AS n")
     return rows.drop("n").unionByName(rows.where("n % 5 = 0").withColumn("offset", F.col("offset") + 1).drop("n"))
 
@@ -401,7 +403,7 @@ SELECT s.idempotency_key, s.event_id, s."offset", CASE WHEN nth > 1 THEN 'drop'
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from veilframe.streaming import consumers
 
-    rows = _replays(spark, sf_dir).select("event_id", "idempotency_key", "offset", F.timestamp_seconds(F.col("offset") + 1_000_000).alias("received_at"))
+    rows = _replays(spark, sf_dir, spread=True).select("event_id", "idempotency_key", "offset", F.timestamp_seconds(F.col("offset") + 1_000_000).alias("received_at"))
     return _stream(spark, sf_dir, rows, consumers.decisions, "append")
 
 

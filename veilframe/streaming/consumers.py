@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections import deque
 from collections.abc import Iterator
 
@@ -69,32 +70,41 @@ def first_sights(messages: DataFrame, delay: str = "1 day") -> DataFrame:
     return messages.withWatermark("received_at", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def decisions(messages: DataFrame, keep: str = "7 days") -> DataFrame:
+def decisions(messages: DataFrame, keep: str = "7 days", buckets: int = 4_096) -> DataFrame:
     """event_id, idempotency_key, offset, decision of every message: first, replay or drop.
 
     ``messages`` (event_id, idempotency_key, offset, received_at). Messages received more than ``keep`` before
     the latest one are late: Spark drops them, so they get no decision. State is a unit's events; it goes
     when, by the time of receipt, nothing has come for the unit for as long as ``keep``.
+
+    Units lie in ``buckets`` by their hash, each a call of Python and a row of state, which a batch that touches it
+    writes anew: about a five-hundredth of the units that are kept at once is right. A checkpoint holds for its number of them.
     """
     kept_ms = int(pd.Timedelta(keep).total_seconds() * 1000)
 
-    def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+    def decide(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        units: dict[str | None, tuple[int, set]] = pickle.loads(bytes(state.get[0])) if state.exists else {}
+        now = state.getCurrentWatermarkMs()
+        if not state.hasTimedOut:
+            rows = pd.concat(batches).sort_values("offset")  # a bucket's rows may come in several pieces, in any order
+            out = []
+            for unit, event, at in zip(rows["idempotency_key"].tolist(), rows["event_id"].tolist(), rows["at"].tolist(), strict=True):
+                until, seen = units.get(unit) or (0, set())
+                out.append("drop" if event in seen else "replay" if seen else "first")
+                seen.add(event)
+                units[unit] = max(until, at + kept_ms, now + 1), seen
+            yield pd.DataFrame({"idempotency_key": rows["idempotency_key"], "event_id": rows["event_id"], "offset": rows["offset"], "decision": out})
+        units = {unit: kept for unit, kept in units.items() if kept[0] >= now}
+        if units:
+            state.update((pickle.dumps(units),))
+            state.setTimeoutTimestamp(min(until for until, _ in units.values()))
+        else:
             state.remove()
-            return
-        seen, last = (set(state.get[0]), state.get[1]) if state.exists else (set(), 0)
-        pdf = pd.concat(batches).sort_values("offset")  # a unit's rows may come in several pieces, in any order
-        last = max(last, int(pdf["received_at"].max().timestamp() * 1000))
-        out = []
-        for event in pdf["event_id"]:
-            out.append("drop" if event in seen else "replay" if seen else "first")
-            seen.add(event)
-        yield pd.DataFrame({"idempotency_key": key[0], "event_id": pdf["event_id"], "offset": pdf["offset"], "decision": out})
-        state.update((sorted(seen), last))
-        state.setTimeoutTimestamp(max(last + kept_ms, state.getCurrentWatermarkMs() + 1))
-
-    return messages.withWatermark("received_at", keep).groupBy("idempotency_key").applyInPandasWithState(
-        decide, "idempotency_key string, event_id string, offset long, decision string", "events array<string>, last long", "append", GroupStateTimeout.EventTimeTimeout,
+
+    at = F.coalesce(F.unix_millis("received_at"), F.lit(0)).alias("at")
+    bucket = F.pmod(F.xxhash64("idempotency_key"), F.lit(buckets)).alias("bucket")
+    return messages.withWatermark("received_at", keep).select("event_id", "idempotency_key", "offset", "received_at", at, bucket).groupBy("bucket").applyInPandasWithState(
+        decide, "idempotency_key string, event_id string, offset long, decision string", "units binary", "append", GroupStateTimeout.EventTimeTimeout,
     )
 
 
